@@ -68,15 +68,17 @@ def robust_components(x: np.ndarray, rank: int = RANK, rounds: int = ROUNDS, thr
 
     Alternating projections: the low-rank part is the projection of ``x`` without its sparse part on the leading
     right singular vectors, the sparse part keeps what deviates from it by more than a threshold that falls from
-    round to round to ``threshold``.
+    round to round to ``threshold``. Components are added one by one, and a profile counts by its shape, not by its
+    size, so that a single enormous spike does not become a component of its own.
     """
     x = x.astype(np.float32, copy=False)
     sparse = np.zeros_like(x)
-    residual = x
     for k in range(rounds):
         y = x - sparse
-        _, v = np.linalg.eigh((y.T @ y).astype(np.float64))
-        basis = v[:, -rank:].astype(np.float32)
+        size = np.sqrt(np.maximum(np.einsum("ij,ij->i", y, y), np.float32(x.shape[1])))
+        shape = y / size[:, None]
+        _, v = np.linalg.eigh((shape.T @ shape).astype(np.float64))
+        basis = v[:, -min(rank, 1 + k // 2) :].astype(np.float32)
         residual = x - (y @ basis) @ basis.T
         cut = threshold * 2.0 ** (rounds - 1 - k)
         sparse = np.where(np.abs(residual) > cut, residual, np.float32(0))
