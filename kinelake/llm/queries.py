@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinelake.llm import percentiles
+from kinelake.llm import percentiles, splits
 from kinelake.plans.registry import Registry
 from kinelake.tables import table
 
@@ -36,3 +36,22 @@ FROM p
 def p4_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Percentiles per embodiment type, field and dimension over all rows of ``frames``."""
     return percentiles.type_percentiles(*(table(spark, sf_dir, n) for n in ("frames", "episodes", "mixture")))
+
+
+@query("p1_found")
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of episodes linked by operator, recording or derivation."""
+    return splits.linked_episodes(table(spark, sf_dir, "episodes"))
+
+
+@query("p1_splits")
+def p1_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split of every episode; linked episodes share theirs."""
+    return splits.split_episodes(table(spark, sf_dir, "episodes"), table(spark, sf_dir, "mixture")).select("episode_index", "split")
+
+
+@query("p1_report")
+def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual shares of the splits per embodiment."""
+    m = table(spark, sf_dir, "mixture")
+    return splits.split_report(splits.split_episodes(table(spark, sf_dir, "episodes"), m), m)
