@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinelake.llm import percentiles, splits
+from kinelake.llm import encode, mixing, percentiles, splits
 from kinelake.plans.registry import Registry
 from kinelake.tables import table
 
@@ -55,3 +55,21 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target and actual shares of the splits per embodiment."""
     m = table(spark, sf_dir, "mixture")
     return splits.split_report(splits.split_episodes(table(spark, sf_dir, "episodes"), m), m)
+
+
+@query("p5_ids")
+def p5_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document by byte_bpe_50k."""
+    return encode.encoded(table(spark, sf_dir, "documents"))
+
+
+@query("p6_mixture")
+def p6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture: one row per document and copy."""
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "source_targets"))[0]
+
+
+@query("p6_report")
+def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target, feasible and actual shares of every source."""
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "source_targets"))[1]
