@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinelake.llm import encode, mixing, percentiles, splits
+from kinelake.llm import encode, mixing, percentiles, splits, subjects
 from kinelake.plans.registry import Registry
 from kinelake.tables import table
 
@@ -73,3 +73,19 @@ def p6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target, feasible and actual shares of every source."""
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "source_targets"))[1]
+
+
+def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.assign_subjects(*(table(spark, sf_dir, n) for n in ("documents", "subjects", "subject_labels")))
+
+
+@query("p7_found")
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The subjects of every document."""
+    return _subjects(spark, sf_dir)
+
+
+@query("p7_shares")
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of each subject in the corpus."""
+    return subjects.subject_shares(_subjects(spark, sf_dir))
