@@ -91,7 +91,7 @@ def paragraphs(text: str | None) -> list[list[list[str]]]:
     t = text.strip()
     if t[:1] in ("{", "["):
         try:
-            t = "\n\n".join(_strings(json.loads(t)))
+            t = "\n".join(_strings(json.loads(t)))
         except ValueError:
             t = _KEY.sub(" ", t)
     t = _TAG.sub(" ", unicodedata.normalize("NFKC", _BROKEN.sub(r"\1\2", t))).lower()
@@ -364,18 +364,21 @@ def assign_subjects(documents: DataFrame, subjects: DataFrame, labels: DataFrame
             size = np.diff(x.per_par)
             best = count.argmax(1)
             has = (count.max(1) > 0) & (np.floor(count.max(1)) >= LEAST_SHARE * size)
-            # without any evidence the mixture of the leaf decides
-            known_at_all = np.zeros(pars_here)
-            np.add.at(known_at_all, x.par, np.abs(r) + np.maximum(e, 0))
+            robot_known = np.zeros(pars_here)
+            np.add.at(robot_known, x.par, np.abs(r) + np.maximum(e, 0))
             leaf = np.minimum(b.column(1).to_numpy(zero_copy_only=False), len(mix) - 1)
-            guess = mix[leaf].argmax(1)
-            found = np.where(has, best, np.where(known_at_all > 0, home, np.where(mix[leaf].max(1) >= PURE, guess, home)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.astype(np.int32)), pa.array(has)], names=["doc_id", "s", "has"])
-
-    got = pars.select("doc_id", "leaf", "sents").mapInArrow(run, "doc_id long, s int, has boolean")
+            guess = np.where(mix[leaf].max(1) >= PURE, mix[leaf].argmax(1), home)
+            kind = np.where(has, 2, np.where(robot_known > 0, 1, 0))  # a subject, terms without one, nothing known
+            found = np.where(has, best, np.where(robot_known > 0, home, guess))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.astype(np.int32)), pa.array(kind.astype(np.int32))], names=["doc_id", "s", "kind"])
+
+    got = pars.select("doc_id", "leaf", "sents").mapInArrow(run, "doc_id long, s int, kind int")
+    # a document has the subjects of its paragraphs, else the robot, else (nothing in it is known) what its leaves deal with
+    top = got.groupBy("doc_id").agg(F.max("kind").alias("kind"), *[F.collect_set(F.when(F.col("kind") == i, F.col("s"))).alias(f"s{i}") for i in range(3)])
+    chosen = F.when(F.col("kind") == 2, F.col("s2")).when(F.col("kind") == 1, F.col("s1")).otherwise(F.col("s0"))
+    chosen = F.when(F.size(F.filter(chosen, lambda v: v != home)) > 0, F.filter(chosen, lambda v: v != home)).otherwise(F.array(F.lit(home)))
     name = F.element_at(F.array(*[F.lit(s) for s in names]), F.col("s") + 1)
-    per_doc = got.groupBy("doc_id").agg(F.collect_set(F.when(F.col("s") != home, F.col("s"))).alias("ss"))
-    return per_doc.select("doc_id", F.explode(F.when(F.size("ss") > 0, F.col("ss")).otherwise(F.array(F.lit(home)))).alias("s")).select("doc_id", name.alias("subject"))
+    return top.select("doc_id", F.explode(chosen).alias("s")).select("doc_id", name.alias("subject"))
 
 
 def subject_shares(assigned: DataFrame) -> DataFrame:
