@@ -1,6 +1,6 @@
 """Queries over the tables of a data folder."""
 
-from kinelake.plans import dataprep
+from kinelake.plans import dataprep, scans
 from kinelake.plans.registry import core
 
-__all__ = ["core", "dataprep"]
+__all__ = ["core", "dataprep", "scans"]
