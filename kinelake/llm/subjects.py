@@ -135,7 +135,9 @@ def split_texts(documents: DataFrame) -> DataFrame:
 
 
 def cluster(pars: DataFrame, leaves: int = LEAVES, seed: int = 5) -> DataFrame:
-    """Adds ``leaf``: bisecting k-means over the normalised tf-idf vectors of all paragraphs."""
+    """Adds ``leaf``: bisecting k-means over the normalised tf-idf vectors of all paragraphs; fewer than two make one leaf."""
+    if pars.where(F.expr("size(flatten(sents)) > 1")).limit(2).count() < 2:
+        return pars.withColumn("leaf", F.lit(0))
     words = pars.withColumn("__w", F.transform(F.flatten("sents"), lambda x: x.cast("string")))
     counts = HashingTF(numFeatures=VECTOR_SIZE, inputCol="__w", outputCol="__c").transform(words)
     weighted = IDF(inputCol="__c", outputCol="__t").fit(counts).transform(counts)
