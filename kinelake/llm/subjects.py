@@ -163,9 +163,9 @@ class _Batch:
         self.one_sent, self.one_term = pair >> TERM_BITS, pair & ((1 << TERM_BITS) - 1)
 
     def evidence(self, weights: np.ndarray) -> np.ndarray:
-        out = np.zeros((self.n, weights.shape[1]))
-        np.add.at(out, self.one_sent, weights[self.one_term])
-        return out
+        # every sentence has terms, and they are sorted by sentence
+        starts = np.flatnonzero(np.concatenate(([True], self.one_sent[1:] != self.one_sent[:-1]))) if self.n else np.zeros(0, np.int64)
+        return np.add.reduceat(weights[self.one_term], starts, axis=0) if self.n else np.zeros((0, weights.shape[1]))
 
     def labels(self, weights: np.ndarray, robot: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each sentence: its subject (the robot's if no other has enough evidence), the evidence, and the robot's evidence."""
@@ -178,8 +178,8 @@ class _Batch:
 
     def others(self, z: np.ndarray, subjects: int) -> np.ndarray:
         """Of each sentence: how many other sentences of its paragraph have which subject."""
-        count = np.zeros((len(self.per_par) - 1, subjects))
-        np.add.at(count, (self.par, z), 1.0)
+        pars = len(self.per_par) - 1
+        count = np.bincount(self.par * subjects + z, minlength=pars * subjects).reshape(pars, subjects).astype(float)
         out = count[self.par]
         out[np.arange(self.n), z] -= 1
         return out
@@ -361,13 +361,11 @@ def assign_subjects(documents: DataFrame, subjects: DataFrame, labels: DataFrame
             aside[s[skip[q]]] = True
             use = ~aside & (z != home)
             pars_here = b.num_rows
-            count = np.zeros((pars_here, k))
-            np.add.at(count, (x.par[use], z[use]), 1.0 + 0.01 * np.minimum(e[use], 6.0))
+            count = np.bincount(x.par[use] * k + z[use], weights=1.0 + 0.01 * np.minimum(e[use], 6.0), minlength=pars_here * k).reshape(pars_here, k)
             size = np.diff(x.per_par)
             best = count.argmax(1)
             has = (count.max(1) > 0) & (np.floor(count.max(1)) >= LEAST_SHARE * size)
-            robot_known = np.zeros(pars_here)
-            np.add.at(robot_known, x.par, np.abs(r) + np.maximum(e, 0))
+            robot_known = np.bincount(x.par, weights=np.abs(r) + np.maximum(e, 0), minlength=pars_here)
             leaf = np.minimum(b.column(1).to_numpy(zero_copy_only=False), len(mix) - 1)
             guess = np.where(mix[leaf].max(1) >= PURE, mix[leaf].argmax(1), home)
             kind = np.where(has, 2, np.where(robot_known > 0, 1, 0))  # a subject, terms without one, nothing known
