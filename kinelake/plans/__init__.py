@@ -1,6 +1,6 @@
 """Queries over the tables of a data folder."""
 
-from kinelake.plans import analytics, dataprep, prompts, scans, transforms
+from kinelake.plans import analytics, dataprep, more, prompts, scans, transforms
 from kinelake.plans.registry import core
 
-__all__ = ["analytics", "core", "dataprep", "prompts", "scans", "transforms"]
+__all__ = ["analytics", "core", "dataprep", "more", "prompts", "scans", "transforms"]
