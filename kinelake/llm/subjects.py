@@ -8,6 +8,9 @@ these deal with anything, or with nothing else. A paragraph has the subject of m
 sentences; sentences that mention something in passing are recognised by expressions that mostly stand where they don't fit in. A document has the
 subjects of its paragraphs; the leaves' mixtures decide where no term does.
 
+This replaces the assignment by leaf mixtures: they only add to the first weights and decide for documents in which no term is known,
+and leaving them out changes no row of sf0.1. The README has the figures of assignments by mixtures.
+
 All statistics cover all documents. Terms are hashed into ``1 << TERM_BITS`` buckets, so the tables sent to tasks have a fixed size.
 Only the labels are bounded: at most ``max_labels`` labelled documents are used, chosen by a hash of their id.
 
