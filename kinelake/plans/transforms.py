@@ -520,7 +520,7 @@ d1 AS (SELECT vec_id, code, sum((x - m) ** 2) AS q FROM v JOIN c USING (i) GROUP
 r AS (SELECT v.vec_id, v.i, x - m AS x FROM v JOIN k1 USING (vec_id) JOIN c ON c.code = k1.code1 AND c.i = v.i), d2 AS (SELECT vec_id, code, sum((x - m) ** 2) AS q FROM r JOIN c USING (i) GROUP BY ALL)
 SELECT vec_id, any_value(code1) AS code1, arg_min(code, struct_pack(a := round(q, 9), b := code)) AS code2 FROM d2 JOIN k1 USING (vec_id) GROUP BY vec_id""")
 def q3(spark: S, d: str) -> DataFrame:
-    """Two levels of residual codes against a codebook of label means; the book is a fixed handful of rows."""
+    """Two levels of residual codes of the first 8 dimensions only, as in its SQL; ``q3_whole_residual_codes`` has all."""
     x = table(spark, d, "embeddings").select("vec_id", "label", V.doubles(F.slice("embedding", 1, 8)).alias("x"))
     book = x.groupBy("label").agg(F.array(*[F.avg(at("x", i)) for i in range(8)]).alias("m")).agg(F.collect_list(F.struct(F.col("label").alias("code"), "m")).alias("book"))
 
@@ -532,6 +532,22 @@ def q3(spark: S, d: str) -> DataFrame:
     return y.select("vec_id", F.col("k1.code").alias("code1"), F.col("k2.code").alias("code2"))
 
 
+@query("q3_whole_residual_codes")
+def q3_whole(spark: S, d: str) -> DataFrame:
+    """Two levels of residual codes over all dimensions, against a codebook of label means; the book is a fixed handful of rows."""
+    x = table(spark, d, "embeddings").select("vec_id", "label", V.doubles(F.col("embedding")).alias("x"))
+    mean = x.select("label", F.posexplode("x").alias("i", "v")).groupBy("label", "i").agg(F.avg("v").alias("m"))
+    entry = mean.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda e: e["m"]).alias("m"))
+    book = entry.agg(F.collect_list(F.struct(F.col("label").alias("code"), "m")).alias("book"))
+
+    def near(v):
+        dist = F.transform("book", lambda c: F.struct(F.round(F.aggregate(V.minus(v, c["m"]), F.lit(0.0), lambda a, y: a + y * y), 9).alias("q"), c["code"].alias("code"), c["m"].alias("m")))
+        return F.array_min(dist)
+
+    y = x.crossJoin(F.broadcast(book)).withColumn("k1", near(F.col("x"))).withColumn("r", V.minus(F.col("x"), F.col("k1.m"))).withColumn("k2", near(F.col("r")))
+    return y.select("vec_id", F.col("k1.code").alias("code1"), F.col("k2.code").alias("code2"))
+
+
 @query("q5_token_stream", f"WITH {SQL_T} SELECT episode_index, '<left>' || CAST(length % 16 AS VARCHAR) || ' ' || CAST(length // 16 % 16 AS VARCHAR) || CASE WHEN embodiment_type = 'duolift_x' THEN '<right>' || CAST(episode_index % 16 AS VARCHAR) || ' ' || CAST(episode_index // 16 % 16 AS VARCHAR) ELSE '' END AS stream FROM t")
 def q5(spark: S, d: str) -> DataFrame:
     """Codes as a stream with a marker per group; groups that are not active are left out."""
