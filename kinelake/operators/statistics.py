@@ -38,3 +38,35 @@ def order_statistics(x: DataFrame, keys: list[str], quantiles: list[tuple[str, f
     c = c.withColumn("upto", F.sum("c").over(w.orderBy("v"))).withColumn("n", F.sum("c").over(w))
     take = [F.min(F.when(F.col("upto") > F.floor(F.lit(q) * (F.col("n") - 1)), F.col("v"))).alias(name) for name, q in quantiles]
     return c.groupBy(*keys).agg(*take)
+
+
+def look_ahead_statistics(df: DataFrame, key: str, field: str, steps: int, quantiles: list[tuple[str, float]]) -> DataFrame:
+    """Statistics by key, step and dimension of the chunk of ``steps`` frames ahead of each frame, clamped at the episode's end.
+
+    ``df`` has ``rn`` and ``n`` (see ``ranked``). No chunk is built: a frame is at step s of one anchor if ``rn`` is at least s, the last frame of
+    ``min(n, s + 1)`` anchors. Both depend on small numbers only, so frames are counted by them and weighted by step.
+    """
+    last = F.col("rn") == F.col("n") - 1
+    at = F.least(F.when(last, F.col("n")).otherwise(F.col("rn")), F.lit(steps)).cast("long")
+    x = df.select(key, last.alias("last"), at.alias("at"), F.posexplode(field).alias("dim", "v"))
+    x = x.select(key, F.col("dim").cast("long").alias("dim"), "last", "at", F.col("v").cast("double").alias("v")).where(FINITE)
+
+    def weight(s: Column) -> Column:
+        return F.when(F.col("last"), F.least(F.col("at"), s + 1)).otherwise((F.col("at") >= s).cast("long"))
+
+    k = [key, "step", "dim"]
+    # moments: a few rows by key, dimension, position and step are merged by weight
+    p = summarize(x, [key, "dim", "last", "at"]).withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(steps - 1).cast("long"))))
+    p = p.withColumn("w", F.col("n") * weight(F.col("step"))).where("w > 0")
+    p = p.withColumn("m", F.sum(F.col("w") * F.col("mean")).over(Window.partitionBy(*k)) / F.sum("w").over(Window.partitionBy(*k)))
+    square = F.sum(F.col("w") * (F.pow("std", F.lit(2)) + F.pow(F.col("mean") - F.col("m"), F.lit(2))))
+    s = p.groupBy(*k).agg(F.sum("w").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("m").alias("mean"), F.when(F.sum("w") > 1, F.sqrt(square / (F.sum("w") - 1))).alias("std"))
+    # order statistics: running weights of all steps in one sort
+    sums = [F.sum(weight(F.lit(i))).cast("long").alias(f"w{i}") for i in range(steps)]
+    c = x.groupBy(key, "dim", "v").agg(*sums)
+    w = Window.partitionBy(key, "dim")
+    c = c.select(key, "dim", "v", *[F.struct(F.col(f"w{i}").alias("w"), F.sum(f"w{i}").over(w.orderBy("v")).alias("upto"), F.sum(f"w{i}").over(w).alias("n")).alias(f"s{i}") for i in range(steps)])
+    take = [F.min(F.when((F.col(f"s{i}.w") > 0) & (F.col(f"s{i}.upto") > F.floor(F.lit(q) * (F.col(f"s{i}.n") - 1))), F.col("v"))).alias(f"{name}_{i}") for i in range(steps) for name, q in quantiles]
+    rows = [F.struct(F.lit(i).cast("long").alias("step"), *[F.col(f"{name}_{i}").alias(name) for name, _ in quantiles]) for i in range(steps)]
+    q = c.groupBy(key, "dim").agg(*take).select(key, "dim", F.explode(F.array(*rows)).alias("z")).select(key, "dim", "z.*")
+    return s.join(q, k)

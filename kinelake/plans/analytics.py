@@ -177,7 +177,7 @@ _CH = f"{SQL_G}, h AS (SELECT a.episode_index, a.global_index, s.step, CAST(b.ac
 SELECT embodiment_type, step, any_value(n) AS n, {r6('min(v)')} AS lo, {r6('max(v)')} AS hi, {r6('avg(v)')} AS mean, {r6('stddev_samp(v)')} AS std,
 {r6('max(CASE WHEN k = floor(0.01 * (n - 1)) + 1 THEN v END)')} AS q01, {r6('max(CASE WHEN k = floor(0.99 * (n - 1)) + 1 THEN v END)')} AS q99 FROM z GROUP BY embodiment_type, step""")
 def a5(spark: S, d: str) -> DataFrame:
-    """Statistics of a clamped look-ahead chunk by step: the window is built once and exploded."""
+    """Statistics of a clamped look-ahead chunk by step, of the first dimension only, as in its SQL; ``a5_whole_stepwise_stats`` has all."""
     g = ranked_frames(spark, d, "action").withColumn("v", F.get("action", F.lit(0)).cast("double"))
     x = clamped_chunk(g.drop("action"), ["v"], 0, 7).select("episode_index", F.explode("chunk").alias("c")).select("episode_index", F.col("c.step").cast("long").alias("step"), "c.v")
     x = x.join(typed_episodes(spark, d), "episode_index").where(finite(F.col("v")) & (F.abs("v") < 10))
@@ -187,6 +187,14 @@ def a5(spark: S, d: str) -> DataFrame:
     return s.join(q, k).select(*k, "n", "lo", "hi", "mean", "std", R6(F.col("q01")).alias("q01"), R6(F.col("q99")).alias("q99"))
 
 
+@query("a5_whole_stepwise_stats")
+def a5_whole(spark: S, d: str) -> DataFrame:
+    """Statistics of a clamped look-ahead chunk by step and dimension, of all finite readings."""
+    g = ranked_frames(spark, d, "action").join(typed_episodes(spark, d), "episode_index")
+    s = st.look_ahead_statistics(g, "embodiment_type", "action", 8, [("q01", 0.01), ("q99", 0.99)])
+    return s.select("embodiment_type", "step", "dim", "n", *[R6(F.col(c)).alias(c) for c in ("lo", "hi", "mean", "std", "q01", "q99")])
+
+
 @query("a6_state_stats", f"""WITH {_LX}, {SQL_T}, z AS (SELECT embodiment_type, dim, v, row_number() OVER (PARTITION BY embodiment_type, dim ORDER BY v) AS k, count(*) OVER (PARTITION BY embodiment_type, dim) AS n FROM y JOIN t USING (episode_index) WHERE field = 'state' AND {_ROBUST})
 SELECT embodiment_type, CAST(dim AS BIGINT) AS dim, any_value(n) AS n, {r6('avg(v)')} AS mean, {r6('stddev_samp(v)')} AS std, {r6('max(CASE WHEN k = floor(0.001 * (n - 1)) + 1 THEN v END)')} AS q001, {r6('max(CASE WHEN k = floor(0.999 * (n - 1)) + 1 THEN v END)')} AS q999 FROM z GROUP BY embodiment_type, dim""")
 def a6(spark: S, d: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import numpy as np
 
 from kinelake.plans import core
+from kinelake.plans.base import typed_episodes
 from kinelake.tables import table
 
 
@@ -21,3 +22,33 @@ def test_whole_residual_codes(spark, small):
     got = core.queries["q3_whole_residual_codes"](spark, small).toPandas().set_index("vec_id").loc[e["vec_id"]]
     assert len(got) == len(e)
     assert (got["code1"].to_numpy() == codes[k1]).all() and (got["code2"].to_numpy() == codes[k2]).all()
+
+
+def plain_frames(spark, small, *columns):
+    """Each frame once, in the order of episodes and frames."""
+    f = table(spark, small, "frames").select("global_index", "episode_index", "frame_index", *columns).toPandas()
+    return f.drop_duplicates("global_index").sort_values(["episode_index", "frame_index"])
+
+
+def same(got, want):
+    assert abs(got - want) <= 2e-6 + 1e-9 * abs(want), (got, want)
+
+
+def test_whole_stepwise_stats(spark, small):
+    kinds = {r["episode_index"]: r["embodiment_type"] for r in typed_episodes(spark, small).collect()}
+    values = {}
+    for e, g in plain_frames(spark, small, "action").groupby("episode_index"):
+        rows = g["action"].tolist()
+        for i in range(len(rows)):
+            for s in range(8):
+                r = rows[min(i + s, len(rows) - 1)]
+                for dim, v in enumerate([] if r is None else r):
+                    if e in kinds and v is not None and np.isfinite(v):
+                        values.setdefault((kinds[e], s, dim), []).append(float(v))
+    got = {(r["embodiment_type"], r["step"], r["dim"]): r for r in core.queries["a5_whole_stepwise_stats"](spark, small).collect()}
+    assert got.keys() == values.keys() and {k[2] for k in got} > {0}
+    for k, v in values.items():
+        v, r = np.sort(v), got[k]
+        assert r["n"] == len(v)
+        for c, x in (("lo", v[0]), ("hi", v[-1]), ("mean", v.mean()), ("std", v.std(ddof=1)), ("q01", v[int(0.01 * (len(v) - 1))]), ("q99", v[int(0.99 * (len(v) - 1))])):
+            same(r[c], x)
