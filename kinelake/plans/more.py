@@ -46,17 +46,22 @@ def q7(spark: S, d: str) -> DataFrame:
 
 @query("q2_run_codes")
 def q2(spark: S, d: str) -> DataFrame:
-    """The grip of the first 16 frames of an episode as one number: runs of one frame are repaired, then the sequence is ranked."""
+    """The grip of each 16 frames of an episode as one number: runs of one frame are repaired, then the sequence is ranked.
+
+    The episode's last frame fills up its last chunk.
+    """
     code = RunCode(16, 1)
 
     @F.pandas_udf("long")
     def rank(bits: pd.Series) -> pd.Series:
         return pd.Series([code.rank(repaired([int(x) for x in b], 1)) for b in bits])
 
-    g = ranked_frames(spark, d, "action").where("rn < 16 and n >= 16")
     grip = F.coalesce((F.element_at("action", -1) >= 0.5).cast("int"), F.lit(0))
-    seq = g.groupBy("episode_index").agg(F.array_sort(F.collect_list(F.struct("rn", grip.alias("b")))).alias("s")).where("size(s) = 16")
-    return seq.select("episode_index", rank(F.transform("s", lambda x: x["b"])).alias("code"))
+    g = ranked_frames(spark, d, "action").select("episode_index", F.expr("rn div 16").alias("chunk"), "rn", grip.alias("b"))
+    seq = g.groupBy("episode_index", "chunk").agg(F.array_sort(F.collect_list(F.struct("rn", "b"))).alias("s"))
+    bits = F.transform("s", lambda x: x["b"])
+    full = F.concat(bits, F.array_repeat(F.element_at(bits, -1), F.lit(16) - F.size("s")))
+    return seq.select("episode_index", "chunk", rank(full).alias("code"))
 
 
 @query("q4_codebook_clusters")

@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from kinelake.functions.sequences import RunCode, repaired
 from kinelake.plans import core
 from kinelake.plans.base import typed_episodes
 from kinelake.tables import table
@@ -52,3 +53,15 @@ def test_whole_stepwise_stats(spark, small):
         assert r["n"] == len(v)
         for c, x in (("lo", v[0]), ("hi", v[-1]), ("mean", v.mean()), ("std", v.std(ddof=1)), ("q01", v[int(0.01 * (len(v) - 1))]), ("q99", v[int(0.99 * (len(v) - 1))])):
             same(r[c], x)
+
+
+def test_run_codes_of_all_chunks(spark, small):
+    code, want = RunCode(16, 1), {}
+    for e, g in plain_frames(spark, small, "action").groupby("episode_index"):
+        bits = [int(r is not None and r[-1] is not None and r[-1] >= 0.5) for r in g["action"]]
+        for k in range(0, len(bits), 16):
+            part = bits[k : k + 16]
+            want[e, k // 16] = code.rank(repaired(part + part[-1:] * (16 - len(part)), 1))
+    got = core.queries["q2_run_codes"](spark, small).collect()
+    assert len(got) == len(want) and {(r["episode_index"], r["chunk"]): r["code"] for r in got} == want
+    assert {k for _, k in want} > {0}
