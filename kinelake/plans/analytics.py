@@ -55,7 +55,7 @@ def j4(spark: S, d: str) -> DataFrame:
 @query("j5_locate_sample", f"""WITH {SQL_E}, c AS (SELECT dataset_dir, sum(length) AS n FROM e GROUP BY dataset_dir), o AS (SELECT dataset_dir, sum(n) OVER (ORDER BY dataset_dir) - n AS start, n FROM c)
 SELECT o.dataset_dir, k.i AS sample, CAST(k.i - o.start AS BIGINT) AS local FROM range(0, 100000000, 97) k(i) JOIN o ON k.i >= o.start AND k.i < o.start + o.n""")
 def j5(spark: S, d: str) -> DataFrame:
-    """Global sample numbers (every 97th) to dataset and local number, generated from each dataset's own range."""
+    """Global sample numbers to dataset and local number, every 97th only, as in its SQL; ``j5_locate_all_samples`` has all."""
     c = episodes(spark, d).groupBy("dataset_dir").agg(F.sum("length").alias("n"))
     o = c.withColumn("start", F.sum("n").over(Window.orderBy("dataset_dir")) - F.col("n"))
     first, last = F.ceil(F.col("start") / 97).cast("long"), F.expr("(start + n - 1) div 97")
@@ -63,6 +63,17 @@ def j5(spark: S, d: str) -> DataFrame:
     return x.select("dataset_dir", (F.col("k") * 97).alias("sample"), (F.col("k") * 97 - F.col("start")).alias("local"))
 
 
+@query("j5_locate_all_samples")
+def j5_all(spark: S, d: str) -> DataFrame:
+    """Every global sample number to dataset and local number, generated from each dataset's own range in pieces."""
+    piece = 65_536
+    c = episodes(spark, d).groupBy("dataset_dir").agg(F.sum("length").alias("n"))
+    o = c.withColumn("start", F.sum("n").over(Window.orderBy("dataset_dir")) - F.col("n")).where("n > 0")
+    p = o.select("dataset_dir", "start", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {piece}"))).alias("b")).repartition("dataset_dir", "b")
+    x = p.select("dataset_dir", "start", F.explode(F.sequence(F.col("b") * piece, F.least((F.col("b") + 1) * piece, F.col("n")) - 1)).alias("local"))
+    return x.select("dataset_dir", (F.col("start") + F.col("local")).alias("sample"), "local")
+
+
 @query("j7_nearest_asof", """WITH a AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'), b AS (SELECT event_id AS other, user_id, ts AS at FROM events WHERE event_type = 'click'),
 n AS (SELECT a.event_id, b.other, row_number() OVER (PARTITION BY a.event_id ORDER BY abs(epoch_us(a.ts) - epoch_us(b.at)), b.at DESC, b.other) AS k FROM a JOIN b ON a.user_id = b.user_id AND abs(epoch_us(a.ts) - epoch_us(b.at)) <= 86400000000)
 SELECT event_id, other FROM n WHERE k = 1""")

@@ -110,6 +110,12 @@ def j13(spark: S, d: str) -> DataFrame:
     return x.select("global_index", (F.row_number().over(Window.partitionBy("episode_index").orderBy("global_index")) - 1).cast("long").alias("position"))
 
 
+@query("j13_all_positions", f"WITH {SQL_F} SELECT global_index, row_number() OVER (PARTITION BY episode_index ORDER BY global_index) - 1 AS position FROM f")
+def j13_all(spark: S, d: str) -> DataFrame:
+    """The place of each row among all rows of its episode."""
+    return frames(spark, d).select("global_index", (F.row_number().over(Window.partitionBy("episode_index").orderBy("global_index")) - 1).cast("long").alias("position"))
+
+
 @query("k2_saved_episodes", f"WITH {SQL_F}, {SQL_E} SELECT f.global_index, e.dataset_from_index + f.frame_index AS assigned, t.task FROM f JOIN e USING (episode_index) LEFT JOIN tasks t ON t.task_index = f.task_index")
 def k2(spark: S, d: str) -> DataFrame:
     """Episodes as they are saved: global index from the episode's offset, tasks by name."""

@@ -65,3 +65,11 @@ def test_run_codes_of_all_chunks(spark, small):
     got = core.queries["q2_run_codes"](spark, small).collect()
     assert len(got) == len(want) and {(r["episode_index"], r["chunk"]): r["code"] for r in got} == want
     assert {k for _, k in want} > {0}
+
+
+def test_all_samples_located(spark, small):
+    e = table(spark, small, "episodes").select("episode_index", "dataset_dir", "length").toPandas().drop_duplicates("episode_index")
+    n = e.groupby("dataset_dir")["length"].sum().sort_index()
+    want = [(name, i) for name, k in n.items() for i in range(k)]
+    got = sorted((r["sample"], r["dataset_dir"], r["local"]) for r in core.queries["j5_locate_all_samples"](spark, small).collect())
+    assert got == [(i, name, local) for i, (name, local) in enumerate(want)]
