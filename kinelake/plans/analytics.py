@@ -154,12 +154,19 @@ _ROBUST = "abs(v) < 10"
 
 @query("a1_episode_stats", f"WITH {_LX} SELECT episode_index, field, CAST(dim AS BIGINT) AS dim, count(*) AS n, {r6('min(v)')} AS lo, {r6('max(v)')} AS hi, {r6('avg(v)')} AS mean, {r6('stddev_pop(v)')} AS std FROM y WHERE {_ROBUST} GROUP BY ALL")
 def a1(spark: S, d: str) -> DataFrame:
-    """Extremes, mean, deviation and count of each dimension by episode; absurd sizes (10 and more) are left out."""
+    """Extremes, mean, deviation and count of each dimension by episode; absurd sizes (10 and more) are left out, as in its SQL; ``a1_whole_episode_stats`` has them."""
     x = st.long_form(frames(spark, d, "action", "state"), ["episode_index"]).where(_ROBUST)
     s = st.summarize(x, ["episode_index", "field", "dim"])
     return s.select("episode_index", "field", "dim", "n", *[R6(F.col(c)).alias(c) for c in ("lo", "hi", "mean", "std")])
 
 
+@query("a1_whole_episode_stats")
+def a1_whole(spark: S, d: str) -> DataFrame:
+    """Extremes, mean, deviation and count of each dimension by episode, of all finite readings whatever their size."""
+    s = st.summarize(st.long_form(frames(spark, d, "action", "state"), ["episode_index"]), ["episode_index", "field", "dim"])
+    return s.select("episode_index", "field", "dim", "n", *[R6(F.col(c)).alias(c) for c in ("lo", "hi", "mean", "std")])
+
+
 @query("a2_merged_partials", f"""WITH {_LX}, p AS (SELECT episode_index, field, dim, count(*) AS n, avg(v) AS mean, stddev_pop(v) AS std FROM y WHERE {_ROBUST} GROUP BY ALL), {SQL_T},
 q AS (SELECT embodiment_type, field, dim, p.n, p.mean, p.std, sum(p.n * p.mean) OVER w / sum(p.n) OVER w AS m FROM p JOIN t USING (episode_index) WINDOW w AS (PARTITION BY embodiment_type, field, dim))
 SELECT embodiment_type, field, CAST(dim AS BIGINT) AS dim, CAST(sum(n) AS BIGINT) AS n, {r6('any_value(m)')} AS mean, {r6('sqrt(sum(n * (std * std + (mean - m) * (mean - m))) / sum(n))')} AS std FROM q GROUP BY embodiment_type, field, dim""")

@@ -73,3 +73,19 @@ def test_all_samples_located(spark, small):
     want = [(name, i) for name, k in n.items() for i in range(k)]
     got = sorted((r["sample"], r["dataset_dir"], r["local"]) for r in core.queries["j5_locate_all_samples"](spark, small).collect())
     assert got == [(i, name, local) for i, (name, local) in enumerate(want)]
+
+
+def test_whole_episode_stats(spark, small):
+    values = {}
+    for e, a, s in plain_frames(spark, small, "action", "state")[["episode_index", "action", "state"]].itertuples(index=False):
+        for field, r in (("action", a), ("state", s)):
+            for dim, v in enumerate([] if r is None else r):
+                if v is not None and np.isfinite(v):
+                    values.setdefault((e, field, dim), []).append(float(v))
+    got = {(r["episode_index"], r["field"], r["dim"]): r for r in core.queries["a1_whole_episode_stats"](spark, small).collect()}
+    assert got.keys() == values.keys() and max(abs(r["hi"]) for r in got.values()) >= 10
+    for k, v in values.items():
+        v, r = np.array(v), got[k]
+        assert r["n"] == len(v)
+        for c, x in (("lo", v.min()), ("hi", v.max()), ("mean", v.mean()), ("std", v.std())):
+            same(r[c], x)
