@@ -7,7 +7,8 @@ zero, an exact test decides whether the reading belongs to a jump that is over a
 lasting shifts. Ranges and constant runs are tested separately.
 
 A source whose rows exceed ``block_rows`` is split by episode into blocks; its scatter and its usual holding times are
-then merged from histograms of all its blocks, so a hot source is treated like any other and never meets in one task.
+then merged from histograms of all its blocks, so a hot source is treated like any other and never meets in one task. Its runs at
+rest are told from the others once the scatter is merged, and are then counted over all its blocks as well.
 
 Defined results: null vectors and null elements are no readings and are never flagged; NaN and infinite values are
 flagged; rows delivered twice (same ``global_index``) count once; a null ``robot_id`` is a source of its own; an
@@ -229,62 +230,71 @@ def _jumps(v: np.ndarray, starts: np.ndarray, candidates: np.ndarray, scatter: f
     return flagged
 
 
-def detect(block: _Block, shared: dict[tuple[str, int, str], tuple[np.ndarray, np.ndarray]] | None) -> pa.Table:
+Histograms = dict[tuple[str, int, str], tuple[np.ndarray, np.ndarray]]
+
+
+def _judged(block: _Block, field: str, shared: Histograms | None) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """The readings of a field that are out of range or in a jump, and the lengths of constant runs by dimension."""
+    width = block.values[field].shape[1]
+    parts, where, pending = [], [], []
+    bad = block.bad_range[field].copy()
+    lengths = {}
+    for dim in range(width):
+        stats = block.stats(field, dim) if shared is None else {k: shared[field, dim, k] for k in ("step", "run") if (field, dim, k) in shared}
+        if "run" in stats:
+            lengths[dim] = stats["run"]
+        if "step" not in stats:
+            continue
+        rows, v, starts = block.series(field, dim)
+        if len(v) < 3:
+            continue
+        scatter = 1.4826 * _median_bin(*stats["step"])
+        at = _windows(starts, WIDTH)
+        profile = v[at]
+        middle = np.partition(profile, WIDTH // 2, axis=1)[:, WIDTH // 2]
+        parts.append((profile - middle[:, None]) / np.float32(scatter))
+        where.append(at)
+        pending.append((dim, rows, v, starts, scatter))
+    if parts:
+        sparse = robust_components(np.concatenate(parts))
+        row = 0
+        for at, (dim, rows, v, starts, scatter) in zip(where, pending):
+            mine = np.zeros(len(v), bool)
+            mine[at[sparse[row : row + len(at)]]] = True
+            row += len(at)
+            jump = _jumps(v, starts, np.flatnonzero(mine), scatter)
+            bad[rows[jump], dim] = True
+    return bad, lengths
+
+
+def detect(block: _Block, shared: Histograms | None) -> pa.Table:
     """All bad readings of a block. ``shared``: the histograms of the whole source, if the block is not all of it."""
     found: list[tuple[np.ndarray, str, int]] = []
     for field in ("action", "state"):
-        width = block.values[field].shape[1]
-        parts, where, pending = [], [], []
-        bad = block.bad_range[field].copy()
-        lengths = {}
-        for dim in range(width):
-            stats = block.stats(field, dim) if shared is None else {k: shared[field, dim, k] for k in ("step", "run") if (field, dim, k) in shared}
-            if "run" in stats:
-                lengths[dim] = stats["run"]
-            if "step" not in stats:
-                continue
-            rows, v, starts = block.series(field, dim)
-            if len(v) < 3:
-                continue
-            scatter = 1.4826 * _median_bin(*stats["step"])
-            at = _windows(starts, WIDTH)
-            profile = v[at]
-            middle = np.partition(profile, WIDTH // 2, axis=1)[:, WIDTH // 2]
-            parts.append((profile - middle[:, None]) / np.float32(scatter))
-            where.append(at)
-            pending.append((dim, rows, v, starts, scatter))
-        if parts:
-            sparse = robust_components(np.concatenate(parts))
-            row = 0
-            for at, (dim, rows, v, starts, scatter) in zip(where, pending):
-                mine = np.zeros(len(v), bool)
-                mine[at[sparse[row : row + len(at)]]] = True
-                row += len(at)
-                jump = _jumps(v, starts, np.flatnonzero(mine), scatter)
-                bad[rows[jump], dim] = True
+        bad, lengths = _judged(block, field, shared)
         if field == "state":
-            bad |= _stuck(block, bad, lengths, shared is None)
-        for dim in range(width):
+            bad |= _stuck(block, bad, lengths, shared)
+        for dim in range(bad.shape[1]):
             hit = np.flatnonzero(bad[:, dim])
             if len(hit):
-                found.append((block.index[hit], field, dim))
+                found.append((hit, field, dim))
     if not found:
         return _OUT_ARROW.empty_table()
     n = [len(x) for x, _, _ in found]
+    hits = np.concatenate([x for x, _, _ in found])
     return pa.table(
-        [np.concatenate([x for x, _, _ in found]), pa.array(np.repeat([f for _, f, _ in found], n).tolist(), pa.string()), np.repeat(np.array([d for _, _, d in found], np.int64), n)],
+        [block.index[hits], pa.array(np.repeat([f for _, f, _ in found], n).tolist(), pa.string()), np.repeat(np.array([d for _, _, d in found], np.int64), n)],
         schema=_OUT_ARROW,
     )
 
 
-def _stuck(block: _Block, bad: np.ndarray, lengths: dict[int, tuple[np.ndarray, np.ndarray]], whole: bool) -> np.ndarray:
-    """Readings of ``state`` in runs far longer than their dimension otherwise holds a value.
+def _long_runs(block: _Block, bad: np.ndarray) -> dict[int, list[tuple[np.ndarray, bool]]]:
+    """By dimension of ``state`` the rows of its long constant runs, and whether the robot is at rest in them.
 
     Bad readings are left out first, so a spike does not end a run. A run during which at least half of the other
-    dimensions hold as well is a robot at rest, which its source does as a matter of course, and is not stuck.
+    dimensions hold as well is a robot at rest.
     """
     held, v = block.held["state"] & ~bad, block.values["state"]
-    out = np.zeros(v.shape, bool)
     long_runs, holds = {}, np.zeros(v.shape, bool)
     for dim in range(v.shape[1]):
         rows = np.flatnonzero(held[:, dim])
@@ -295,22 +305,35 @@ def _stuck(block: _Block, bad: np.ndarray, lengths: dict[int, tuple[np.ndarray,
         long_runs[dim] = [rows[s : s + k] for s, k in zip(starts[pick], n[pick])]
         for r in long_runs[dim]:
             holds[r[0] : r[-1] + 1, dim] = True
-    if not long_runs:
-        return out
     movable = np.maximum(block.held["state"].sum(1) - 1, 1)
+    out = {}
     for dim, runs in long_runs.items():
-        others = (holds.sum(1) - holds[:, dim]) >= 0.5 * movable
-        enough = movable > 1
+        rest = ((holds.sum(1) - holds[:, dim]) >= 0.5 * movable) & (movable > 1)
+        out[dim] = [(r, float(rest[r].mean()) >= 0.5) for r in runs]
+    return out
+
+
+def _rests(runs: list[tuple[np.ndarray, bool]]) -> tuple[np.ndarray, np.ndarray]:
+    """The histogram of the lengths of the runs at rest."""
+    return np.unique(np.array([min(len(r), RUN_CAP) for r, rest in runs if rest], np.int64), return_counts=True)
+
+
+def _stuck(block: _Block, bad: np.ndarray, lengths: dict[int, tuple[np.ndarray, np.ndarray]], shared: Histograms | None) -> np.ndarray:
+    """Readings of ``state`` in runs far longer than their dimension otherwise holds a value.
+
+    A robot at rest, which its source does as a matter of course, is not stuck, and rests say nothing about how long a
+    moving dimension holds a value.
+    """
+    out = np.zeros(block.values["state"].shape, bool)
+    for dim, runs in _long_runs(block, bad).items():
         own, n = lengths.get(dim, (np.zeros(0, int), np.zeros(0, int)))
         own, n = own.astype(np.int64), n.astype(np.int64).copy()
-        resting = [float((others & enough)[r].mean()) >= 0.5 for r in runs]
-        if whole:  # rests say nothing about how long a moving dimension holds a value
-            for r, rest in zip(runs, resting):
-                at = np.flatnonzero(own == min(len(r), RUN_CAP))
-                if rest and len(at) and n[at[0]] > 0:
-                    n[at[0]] -= 1
+        rests = _rests(runs) if shared is None else shared.get(("state", dim, "rest"), (np.zeros(0, int), np.zeros(0, int)))
+        for length, many in zip(*rests):
+            at = own == length
+            n[at] = np.maximum(n[at] - many, 0)
         least = max(SHORTEST_RUN, FACTOR * _longest_chance_run(own, n)) if n.sum() else SHORTEST_RUN
-        for r, rest in zip(runs, resting):
+        for r, rest in runs:
             if not rest and len(r) >= least:
                 out[r, dim] = True
     return out
@@ -334,32 +357,50 @@ def implausible_readings(frames: DataFrame, episodes: DataFrame, mixture: DataFr
     e = e.where("episode_index is not null").groupBy("src", "episode_index").agg(F.min("embodiment_type").alias("embodiment_type"))
     e = e.join(sizes, "src", "left").select("src", blk.alias("blk"), "episode_index", "embodiment_type")
 
+    def histograms(right: pa.Table) -> Histograms:
+        s, out = right.filter(pc.is_valid(right.column("kind"))).to_pandas(), {}
+        for (field, dim, kind), g in s.groupby(["field", "dim", "kind"]):
+            out[field, int(dim), kind] = (g["bin"].to_numpy(np.int64), g["n"].to_numpy(np.int64))
+        return out
+
+    def own(right: pa.Table) -> pa.Table:
+        return right.filter(pc.is_null(right.column("kind"))) if "kind" in right.column_names else right
+
     def block_stats(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        """The histograms of a block; with those of the whole source at hand, also of its runs at rest."""
         rows = []
+
+        def add(field: str, dim: int, kind: str, bins: np.ndarray, n: np.ndarray) -> None:
+            rows.extend((key[0].as_py(), field, dim, kind, int(x), int(y)) for x, y in zip(bins, n))
+
         if left.num_rows:
-            b = _Block(left, right, limits)
+            b = _Block(left, own(right), limits)
             for field in ("action", "state"):
                 for dim in range(b.values[field].shape[1]):
                     for kind, (bins, n) in b.stats(field, dim).items():
-                        rows += [(key[0].as_py(), field, dim, kind, int(x), int(y)) for x, y in zip(bins, n)]
+                        add(field, dim, kind, bins, n)
+            if "kind" in right.column_names:
+                for dim, runs in _long_runs(b, _judged(b, "state", histograms(right))[0]).items():
+                    add("state", dim, "rest", *_rests(runs))
         return pa.table([list(c) for c in zip(*rows)], schema=_STATS_ARROW) if rows else _STATS_ARROW.empty_table()
 
     def block_found(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return _OUT_ARROW.empty_table()
-        own = right.filter(pc.is_null(right.column("kind")))
-        shared = None
-        if left.column("split")[0].as_py():
-            s, shared = right.filter(pc.is_valid(right.column("kind"))).to_pandas(), {}
-            for (field, dim, kind), g in s.groupby(["field", "dim", "kind"]):
-                shared[field, int(dim), kind] = (g["bin"].to_numpy(np.int64), g["n"].to_numpy(np.int64))
-        return detect(_Block(left, own, limits), shared)
-
-    # only the sources that were split need their statistics merged beforehand
-    hot = f.where("split").drop("split").groupBy("src", "blk").cogroup(e.join(sizes.select("src"), "src", "left_semi").groupBy("src", "blk"))
-    merged = hot.applyInArrow(block_stats, _STATS).groupBy("src", "field", "dim", "kind", "bin").agg(F.sum("n").alias("n"))
-    to_blocks = merged.join(sizes, "src").select("src", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("blk"), "field", "dim", "kind", "bin", "n")
-    right = e.unionByName(to_blocks, allowMissingColumns=True)
+        shared = histograms(right) if left.column("split")[0].as_py() else None
+        return detect(_Block(left, own(right), limits), shared)
+
+    def with_merged(e: DataFrame, stats: DataFrame) -> DataFrame:
+        merged = stats.groupBy("src", "field", "dim", "kind", "bin").agg(F.sum("n").alias("n"))
+        to_blocks = merged.join(sizes, "src").select("src", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("blk"), "field", "dim", "kind", "bin", "n")
+        return e.unionByName(to_blocks, allowMissingColumns=True)
+
+    # only the sources that were split need their statistics merged beforehand: the scatter first, then the rests, which depend on it
+    hot = f.where("split").drop("split").groupBy("src", "blk")
+    hot_e = e.join(sizes.select("src"), "src", "left_semi")
+    first = hot.cogroup(hot_e.groupBy("src", "blk")).applyInArrow(block_stats, _STATS)
+    second = hot.cogroup(with_merged(hot_e, first).groupBy("src", "blk")).applyInArrow(block_stats, _STATS)
+    right = with_merged(e, second)
     return f.groupBy("src", "blk").cogroup(right.groupBy("src", "blk")).applyInArrow(block_found, OUT)
 
 

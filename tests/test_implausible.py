@@ -94,3 +94,18 @@ def test_components_find_sparse_part():
         x[i, j] += 40
     found = robust_components(x)
     assert all(found[i, j] for i, j in hits) and found.mean() < 0.05
+
+
+def test_rests_of_split_source(spark):
+    rows, rng = make(), np.random.default_rng(7)
+    for r in rows.values():  # a third dimension that moves
+        r[5][2] = float(rng.normal(0, 0.01))
+    for e in range(30):  # at rest for 12 frames
+        for k in range(20, 32):
+            rows[e, k][5][:] = rows[e, 20][5]
+    for k in range(3, 18):  # stuck
+        rows[6, k][5][0] = rows[6, 3][5][0]
+    f, e, m, _ = tables(spark, rows.values())
+    ranges = spark.createDataFrame([("t1", "right_arm", i, i, -3.0, 3.0) for i in range(3)], "embodiment_type string, part_key string, part_dim long, dim long, low double, high double")
+    whole, split = ({tuple(r) for r in implausible_readings(f, e, m, ranges, block_rows=n).collect()} for n in (10**9, 200))
+    assert whole == split and {(rows[6, k][0], "state", 0) for k in range(3, 18)} <= whole
