@@ -11,7 +11,7 @@ then merged from histograms of all its blocks, so a hot source is treated like a
 rest are told from the others once the scatter is merged, and are then counted over all its blocks as well.
 
 Defined results: null vectors and null elements are no readings and are never flagged; NaN and infinite values are
-flagged; rows delivered twice (same ``global_index``) count once; a null ``robot_id`` is a source of its own; an
+flagged; rows delivered twice (same ``global_index``) count once; rows without ``global_index`` are all kept, and reported without it; a null ``robot_id`` is a source of its own; an
 episode that ``episodes`` does not have for that source takes the embodiment type of the source's other episodes; a type or
 dimension without a range has no range test; an empty table gives an empty result; further columns of the inputs are ignored.
 """
@@ -117,13 +117,15 @@ class _Block:
     def __init__(self, t: pa.Table, lookup: pa.Table | None, ranges: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]):
         index, episode, frame = (t.column(c).fill_null(-1).to_numpy() for c in ("global_index", "episode_index", "frame_index"))
         order = np.lexsort((index, frame, episode))
-        # one row per global_index; copies are equal but for the time they came in
-        same = np.zeros(len(order), bool)
+        # one row per global_index; copies are equal but for the time they came in. Without one a row is not known as a copy
+        null = np.asarray(t.column("global_index").is_null())
+        same = null[order]
         if len(order):
-            _, first = np.unique(index[order], return_index=True)
-            same[first] = True
+            known = np.flatnonzero(~same)
+            _, first = np.unique(index[order][known], return_index=True)
+            same[known[first]] = True
         order = order[same]
-        self.index, self.episode = index[order], episode[order]
+        self.index, self.unknown, self.episode = index[order], null[order], episode[order]
         self.values, self.there, self.bad_range = {}, {}, {}
         self.held = {}
         kinds = np.full(len(order), "", object)
@@ -283,7 +285,7 @@ def detect(block: _Block, shared: Histograms | None) -> pa.Table:
     n = [len(x) for x, _, _ in found]
     hits = np.concatenate([x for x, _, _ in found])
     return pa.table(
-        [block.index[hits], pa.array(np.repeat([f for _, f, _ in found], n).tolist(), pa.string()), np.repeat(np.array([d for _, _, d in found], np.int64), n)],
+        [pa.array(block.index[hits], mask=block.unknown[hits]), pa.array(np.repeat([f for _, f, _ in found], n).tolist(), pa.string()), np.repeat(np.array([d for _, _, d in found], np.int64), n)],
         schema=_OUT_ARROW,
     )
 

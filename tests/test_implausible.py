@@ -109,3 +109,13 @@ def test_rests_of_split_source(spark):
     ranges = spark.createDataFrame([("t1", "right_arm", i, i, -3.0, 3.0) for i in range(3)], "embodiment_type string, part_key string, part_dim long, dim long, low double, high double")
     whole, split = ({tuple(r) for r in implausible_readings(f, e, m, ranges, block_rows=n).collect()} for n in (10**9, 200))
     assert whole == split and {(rows[6, k][0], "state", 0) for k in range(3, 18)} <= whole
+
+
+def test_null_global_index(spark):
+    rows = make(episodes=6)
+    for k in (3, 9, 15):
+        rows[1, k][0] = None
+    rows[1, 3][4][0] = rows[1, 9][4][1] = math.nan
+    rows[2, 4][4][0] = math.nan
+    got = sorted(map(tuple, implausible_readings(*tables(spark, rows.values())).collect()), key=str)
+    assert got == sorted([(None, "action", 0), (None, "action", 1), (rows[2, 4][0], "action", 0)], key=str)
