@@ -28,8 +28,11 @@ def small() -> str:
     return SMALL
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture
 def con(small):
+    """A database for each test: an error inside the engine must not spoil the tests that follow."""
     import harness
 
-    return harness.connection(small)
+    c = harness.Database(small)
+    yield c
+    c.close()

@@ -13,12 +13,31 @@ import duckdb
 def connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
+    con.execute("SET threads=2")
     for path in glob.glob(f"{sf_dir}/*.parquet"):
         at = f"{path}/*.parquet" if os.path.isdir(path) else path
         con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM read_parquet('{at}')")
     return con
 
 
+class Database:
+    """The tables of a folder. After an internal error, which ends a database, a query is tried once more on a new one."""
+
+    def __init__(self, sf_dir: str):
+        self.sf_dir, self.con = sf_dir, connection(sf_dir)
+
+    def execute(self, sql: str) -> duckdb.DuckDBPyConnection:
+        try:
+            return self.con.execute(sql)
+        except (duckdb.InternalException, duckdb.FatalException):
+            self.close()
+            self.con = connection(self.sf_dir)
+            return self.con.execute(sql)
+
+    def close(self) -> None:
+        self.con.close()
+
+
 def plain(v: object) -> str:
     if v is None:
         return "null"
@@ -45,14 +64,14 @@ def rows_of_spark(df) -> tuple[list[str], list[tuple]]:
     return cols, sorted(tuple(plain(r[c]) for c in cols) for r in df.select(*[f"`{c}`" for c in cols]).collect())
 
 
-def rows_of_sql(con: duckdb.DuckDBPyConnection, sql: str) -> tuple[list[str], list[tuple]]:
+def rows_of_sql(con: Database, sql: str) -> tuple[list[str], list[tuple]]:
     res = con.execute(sql)
     names = [d[0] for d in res.description]
     order = sorted(range(len(names)), key=lambda i: names[i])
     return [names[i] for i in order], sorted(tuple(plain(r[i]) for i in order) for r in res.fetchall())
 
 
-def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str:
+def difference(df, con: Database, sql: str) -> str:
     """Empty if both give the same rows, else the first differences."""
     a, b = rows_of_spark(df), rows_of_sql(con, sql)
     if a[0] != b[0]:
