@@ -50,18 +50,30 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage is cut, lost executors cost nothing.
 
-    The files are removed when the driver's Python ends.
+    The files are removed by ``discard``, at the latest when the driver's Python ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     _WRITTEN[path] = spark
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._kinelake_path = path
+    return out
+
+
+def discard(*steps: DataFrame) -> None:
+    """Remove the files of steps that nothing reads any more."""
+    _remove([p for p in (getattr(s, "_kinelake_path", None) for s in steps) if p in _WRITTEN])
 
 
 def drop_materialized() -> None:
     """Remove what ``materialize`` wrote."""
-    for path, spark in list(_WRITTEN.items()):
+    _remove(list(_WRITTEN))
+
+
+def _remove(paths: list[str]) -> None:
+    for path in paths:
+        spark = _WRITTEN[path]
         try:
             jvm, sc = spark._jvm, spark.sparkContext._jsc
             p = jvm.org.apache.hadoop.fs.Path(path)

@@ -10,18 +10,18 @@ import os
 import duckdb
 
 
-def connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
+def connection(sf_dir: str, threads: int = 4) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
-    con.execute("SET threads=2")
+    con.execute(f"SET threads={threads}")
     for path in glob.glob(f"{sf_dir}/*.parquet"):
         at = f"{path}/*.parquet" if os.path.isdir(path) else path
-        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM read_parquet('{at}')")
+        con.execute(f"CREATE TABLE {os.path.basename(path)[:-8]} AS SELECT * FROM read_parquet('{at}')")
     return con
 
 
 class Database:
-    """The tables of a folder. After an internal error, which ends a database, a query is tried once more on a new one."""
+    """The tables of a folder. After an internal error, which ends a database, a query is tried once more on a new one with other threads."""
 
     def __init__(self, sf_dir: str):
         self.sf_dir, self.con = sf_dir, connection(sf_dir)
@@ -31,7 +31,7 @@ class Database:
             return self.con.execute(sql)
         except (duckdb.InternalException, duckdb.FatalException):
             self.close()
-            self.con = connection(self.sf_dir)
+            self.con = connection(self.sf_dir, threads=8)
             return self.con.execute(sql)
 
     def close(self) -> None:
