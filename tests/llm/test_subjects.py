@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from kinelake.llm.subjects import assign_subjects, paragraphs, subject_shares, terms
+import numpy as np
+
+from kinelake.llm import subjects as S
+from kinelake.llm.subjects import assign_subjects, bisecting_kmeans, paragraphs, subject_shares, terms, units
 from kinelake.tables import table
 
 
@@ -37,3 +40,35 @@ def test_small_and_empty(spark):
 def test_shares(spark):
     a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x")], "doc_id long, subject string")
     assert {r["subject"]: (r["documents"], r["share"]) for r in subject_shares(a).collect()} == {"x": (2, 0.75), "y": (1, 0.25)}
+
+
+def test_rows_come_from_the_leaves(spark):
+    """With a single leaf every document with evidence has the same subject; with leaves held-out labels are met."""
+    d = "/root/testdata/sf0.01"
+    docs, subs, labels = (table(spark, d, n) for n in ("documents", "subjects", "subject_labels"))
+    one = assign_subjects(docs, subs, labels, leaves=1).where("subject <> 'robotics'")
+    assert one.select("subject").distinct().count() <= 1
+    many = assign_subjects(docs, subs, labels)
+    assert many.select("subject").distinct().count() == 12
+    assert many.exceptAll(one).count() > 0.5 * many.count()
+
+
+def test_bisecting_kmeans_separates_directions():
+    rng = np.random.default_rng(3)
+    axis = rng.integers(0, 5, 400)
+    v = np.abs(rng.normal(0, 0.05, (400, 5)))
+    v[np.arange(400), axis] += 1
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    leaf = bisecting_kmeans(v, np.ones(400), 5)
+    assert len(set(leaf)) == 5 and len(set(zip(leaf, axis))) == 5
+    assert len(set(bisecting_kmeans(v[:1].repeat(30, 0), np.ones(30), 4))) == 1  # nothing to split
+    assert len(set(bisecting_kmeans(v[:0], np.ones(0), 4))) == 0
+
+
+def test_number_of_vectors_is_bounded():
+    assert units(12) == 9 and units(1000) == 1 and units(1) == 9
+
+
+def test_tokens_of_plain_text_are_those_of_any_text():
+    t = "the gripper's arm - isn't x stuck'"
+    assert terms(t) == [w for w in terms(t + " é\u4e00") if not S._HAN.search(w)]
