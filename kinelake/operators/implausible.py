@@ -1,14 +1,15 @@
 """Implausible readings of vector-valued time series, judged per source and dimension.
 
-Method: the valid readings of a source are cut into profiles of ``WIDTH`` successive readings, one matrix row each,
-scaled by the usual scatter of their dimension. Robust principal components (alternating projections between a
-low-rank matrix and a sparse one) split each matrix into normal behaviour and sparse deviations. Only where the sparse part is not
-zero, an exact test decides whether the reading belongs to a jump that is over after a few frames, which rules out
-lasting shifts. Ranges and constant runs are tested separately.
+Method: the valid readings of an episode are cut into profiles of ``WIDTH`` successive readings, which take the place of the profiles of a day. The profiles
+of a source and dimension, scaled by its usual scatter, are the rows of a matrix. Robust principal components give its normal behaviour:
+the leading directions of the profiles taken by their shape (spherical components, so no spike becomes a component), those of the source's
+other dimensions lending weight where there are few. Alternating projections then split each profile into its low-rank part, estimated
+without the sparse one, and a sparse part of deviations. A reading is off the path if its deviation from the low-rank part exceeds ``OFF`` units of scatter; an exact
+check follows that the jump is over after a few frames, which rules out lasting shifts. Ranges and constant runs are tested separately.
 
-A source whose rows exceed ``block_rows`` is split by episode into blocks; its scatter and its usual holding times are
-then merged from histograms of all its blocks, so a hot source is treated like any other and never meets in one task. Its runs at
-rest are told from the others once the scatter is merged, and are then counted over all its blocks as well.
+A source whose rows exceed ``block_rows`` is split by episode into blocks; its scatter, the sums of squares and products that give its components, and its usual holding
+times are then merged from all its blocks, so a hot source is treated like any other and never meets in one task. All these are
+whole numbers and come from one pass, so blocks and whole sources give the same rows.
 
 Defined results: null vectors and null elements are no readings and are never flagged; NaN and infinite values are
 flagged; rows delivered twice (same ``global_index``) count once; rows without ``global_index`` are all kept, and reported without it; a null ``robot_id`` is a source of its own; an
@@ -24,18 +25,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinelake.session import materialize
 from kinelake.skew import bounded_broadcast
 
-#: Readings in a profile (a row of the matrix), components kept at most, rounds of alternating projections.
-WIDTH, RANK, ROUNDS = 24, 2, 5
-#: Deviation from the low-rank part, in units of scatter, from which a reading is a candidate.
-CANDIDATE = 2.5
-#: A jump is over after this many frames at most; every one of its frames is further off the path than JUMP units of scatter.
-LONGEST_JUMP, JUMP = 5, 5.0
+#: Readings in a profile (a row of the matrix), components of normal behaviour, rounds of alternating projections.
+WIDTH, RANK, ROUNDS = 24, 2, 6
+#: Deviation from the low-rank part, in units of scatter, from which a reading is off the path.
+OFF = 4.5
+#: Shapes count in steps of 1 / SHAPE_STEPS; the source's other dimensions, and smooth paths, count as so many profiles of a dimension.
+SHAPE_STEPS, POOLED, SMOOTH = 256, 20.0, 5.0
+#: A jump is over after this many frames at most, and stands out by RETURN units of scatter from the line between its neighbours.
+LONGEST_JUMP, RETURN = 5, 3.0
 #: A run is stuck if it has at least SHORTEST_RUN readings and FACTOR times the length that chance allows once in ODDS such series.
 SHORTEST_RUN, FACTOR, ODDS = 8, 1.8, 1e3
-#: Lengths of runs are counted up to this.
-RUN_CAP = 4096
 
 OUT = "global_index long, field string, dim long"
 _OUT_ARROW = pa.schema([("global_index", pa.int64()), ("field", pa.string()), ("dim", pa.int64())])
@@ -64,26 +66,39 @@ def matrix(column: pa.ChunkedArray, order: np.ndarray) -> tuple[np.ndarray, np.n
     return values[at], inside if there is None else inside & there[at], width
 
 
-def robust_components(x: np.ndarray, rank: int = RANK, rounds: int = ROUNDS, threshold: float = CANDIDATE) -> np.ndarray:
-    """Where the sparse part of ``x`` (profiles by positions, in units of scatter) is not zero.
+def shape_products(x: np.ndarray) -> np.ndarray:
+    """The sums of products of the positions of profiles (rows), each profile by its shape and not by its size; whole numbers."""
+    size = np.sqrt(np.einsum("ij,ij->i", x, x, dtype=np.float64))
+    shape = np.rint(x * (SHAPE_STEPS / np.maximum(size, 1e-30))[:, None])
+    return np.rint(shape.T @ shape).astype(np.int64)
 
-    Alternating projections: the low-rank part is the projection of ``x`` without its sparse part on the leading
-    right singular vectors, the sparse part keeps what deviates from it by more than a threshold that falls from
-    round to round to ``threshold``. Components are added one by one, and a profile counts by its shape, not by its
-    size, so that a single enormous spike does not become a component of its own.
+
+def normal_directions(own: np.ndarray, pooled: np.ndarray, rank: int = RANK) -> np.ndarray:
+    """The leading directions of a dimension's profiles; those of all dimensions and smooth paths lend weight as few profiles do."""
+    total = own / SHAPE_STEPS**2
+    size = max(float(np.trace(pooled)), 1.0)
+    t = np.linspace(-1, 1, WIDTH)
+    smooth, _ = np.linalg.qr(np.stack([np.ones(WIDTH), t, t * t], axis=1))
+    _, v = np.linalg.eigh(total + POOLED * pooled / size + SMOOTH / 3 * (smooth @ smooth.T))
+    return v[:, -rank:].astype(np.float32)
+
+
+def robust_components(x: np.ndarray, basis: np.ndarray, rounds: int = ROUNDS, threshold: float = OFF) -> np.ndarray:
+    """The size of the deviation of each reading of ``x`` (profiles, in units of scatter) from the low-rank part.
+
+    Alternating projections: the low-rank part is the projection of ``x`` without its sparse part on the normal
+    directions, the sparse part keeps what deviates from it by more than a threshold that falls from round to round to ``threshold``.
+    What a reading itself adds to its low-rank part is taken out of the deviation.
     """
     x = x.astype(np.float32, copy=False)
     sparse = np.zeros_like(x)
+    own = np.float32(1) - np.einsum("ij,ij->i", basis, basis)
+    residual = x
     for k in range(rounds):
-        y = x - sparse
-        size = np.sqrt(np.maximum(np.einsum("ij,ij->i", y, y), np.float32(x.shape[1])))
-        shape = y / size[:, None]
-        _, v = np.linalg.eigh((shape.T @ shape).astype(np.float64))
-        basis = v[:, -min(rank, 1 + k // 2) :].astype(np.float32)
-        residual = x - (y @ basis) @ basis.T
-        cut = threshold * 2.0 ** (rounds - 1 - k)
-        sparse = np.where(np.abs(residual) > cut, residual, np.float32(0))
-    return sparse != 0
+        low = ((x - sparse) @ basis) @ basis.T
+        residual = np.where(sparse != 0, x - low, (x - low) / own)
+        sparse = np.where(np.abs(residual) > threshold * 2.0 ** max(rounds - 3 - k, 0), x - low, np.float32(0))
+    return np.abs(residual)
 
 
 def _median_bin(bins: np.ndarray, n: np.ndarray) -> float:
@@ -111,10 +126,14 @@ def _longest_chance_run(lengths: np.ndarray, n: np.ndarray) -> float:
     return float(most)
 
 
+#: By field, dimension and kind: bins, and how many are in each.
+Histograms = dict[tuple[str, int, str], tuple[np.ndarray, np.ndarray]]
+
+
 class _Block:
     """The readings of one source (or a block of its episodes), ordered by episode and frame."""
 
-    def __init__(self, t: pa.Table, lookup: pa.Table | None, ranges: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]):
+    def __init__(self, t: pa.Table, lookup: pa.Table, ranges: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]):
         index, episode, frame = (t.column(c).fill_null(-1).to_numpy() for c in ("global_index", "episode_index", "frame_index"))
         order = np.lexsort((index, frame, episode))
         # one row per global_index; copies are equal but for the time they came in. Without one a row is not known as a copy
@@ -129,18 +148,19 @@ class _Block:
         self.values, self.there, self.bad_range = {}, {}, {}
         self.held = {}
         kinds = np.full(len(order), "", object)
-        if lookup is not None and lookup.num_rows:
-            e, k = lookup.column("episode_index").to_numpy(), np.array(lookup.column("embodiment_type").to_pylist(), object)
+        if lookup.num_rows and len(order):
+            e, k = lookup.column("episode_index"), np.array(lookup.column("embodiment_type").to_pylist(), object)
+            of_source = np.asarray(e.is_null())
+            usual = k[of_source][0] if of_source.any() else None
+            e, k = e.filter(e.is_valid()).to_numpy(), k[~of_source]
             by = np.argsort(e, kind="stable")
             e, k = e[by], k[by]
-            usual = {}
-            for x in k:
-                if x is not None:
-                    usual[x] = usual.get(x, 0) + 1
-            most = min(usual, key=lambda x: (-usual[x], x)) if usual else ""
-            at = np.minimum(np.searchsorted(e, self.episode), len(e) - 1)
-            kinds = np.where(e[at] == self.episode, k[at], most)
-            kinds = np.array([most if x is None else x for x in kinds], object) if len(kinds) else kinds
+            if len(e):
+                at = np.minimum(np.searchsorted(e, self.episode), len(e) - 1)
+                kinds = np.where(e[at] == self.episode, k[at], None)
+            else:
+                kinds = np.full(len(order), None, object)
+            kinds = np.array([usual or "" if x is None else x for x in kinds], object)
         groups = {x: kinds == x for x in set(kinds)} if len(kinds) else {}
         for field in ("action", "state"):
             v, there, _ = matrix(t.column(field), order)
@@ -165,22 +185,41 @@ class _Block:
         cuts = np.flatnonzero(ep[1:] != ep[:-1]) + 1
         return rows, self.values[field][rows, dim], np.concatenate(([0], cuts, [len(rows)])) if len(rows) else np.zeros(1, int)
 
-    def stats(self, field: str, dim: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-        """Histograms of the steps between successive readings (leading 16 bits of their size) and of the lengths of constant runs."""
-        rows, v, starts = self.series(field, dim)
-        if len(v) < 2:
-            return {}
-        step = np.abs(np.diff(v))
-        inner = np.ones(len(step), bool)
-        inner[starts[1:-1] - 1] = False
-        moved = step[inner & (step > 0)]
-        out = {}
-        if len(moved):
-            out["step"] = np.unique(moved.view(np.uint32) >> 16, return_counts=True)
-        if self.held[field][:, dim].any():
-            use = self.held[field][rows, dim]
-            _, lengths = _runs(v[use], self.episode[rows][use])
-            out["run"] = np.unique(np.minimum(lengths, RUN_CAP), return_counts=True)
+    def profiles(self, field: str, dim: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the readings of the profiles of a dimension, and the profiles less their medians."""
+        _, v, starts = self.series(field, dim)
+        at = _windows(starts, WIDTH)
+        profile = v[at]
+        return at, profile - np.partition(profile, WIDTH // 2, axis=1)[:, WIDTH // 2][:, None]
+
+    def stats(self) -> Histograms:
+        """What is merged over the blocks of a source: by field, dimension and kind, bins and whole numbers.
+
+        ``step``: sizes of steps between successive readings (their leading 16 bits); ``products``: shapes of the profiles; ``run`` and ``rest``: lengths of constant
+        runs, and of those at rest.
+        """
+        out: Histograms = {}
+        for field in ("action", "state"):
+            for dim in range(self.values[field].shape[1]):
+                rows, v, starts = self.series(field, dim)
+                if len(v) < 2:
+                    continue
+                step = np.abs(np.diff(v))
+                inner = np.ones(len(step), bool)
+                inner[starts[1:-1] - 1] = False
+                moved = step[inner & (step > 0)]
+                if len(moved):
+                    out[field, dim, "step"] = np.unique(moved.view(np.uint32) >> 16, return_counts=True)
+                    products = shape_products(self.profiles(field, dim)[1]).ravel()
+                    out[field, dim, "products"] = (np.flatnonzero(products), products[products != 0])
+                if self.held[field][:, dim].any():
+                    use = self.held[field][rows, dim]
+                    _, lengths = _runs(v[use], self.episode[rows][use])
+                    out[field, dim, "run"] = np.unique(lengths, return_counts=True)  # at most as many lengths as the root of twice the readings
+        for dim, runs in _long_runs(self, self.bad_range["state"]).items():
+            rests = np.array([len(r) for r, rest in runs if rest], np.int64)
+            if len(rests):
+                out["state", dim, "rest"] = np.unique(rests, return_counts=True)
         return out
 
 
@@ -203,79 +242,68 @@ def _windows(starts: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(first[:, None] + np.arange(width), end[ep][:, None] - 1)
 
 
-def _jumps(v: np.ndarray, starts: np.ndarray, candidates: np.ndarray, scatter: float) -> np.ndarray:
-    """Exact test at the candidates: which readings belong to a jump that returns to the path within LONGEST_JUMP frames.
+def _jumps(v: np.ndarray, starts: np.ndarray, off: np.ndarray, scatter: float) -> np.ndarray:
+    """Exact check of the readings that are ``off`` the path: which belong to a jump that returns to it within LONGEST_JUMP frames.
 
-    Readings p .. p+m-1 do if each is further than JUMP units of scatter from the line between its neighbours p-1 and
+    Readings p .. p+m-1 do if all are off the path and further than RETURN units of scatter from the line between their neighbours p-1 and
     p+m, while these are less than half as far apart: a lasting shift has no way back and does not count.
     """
     flagged = np.zeros(len(v), bool)
-    if not len(candidates):
+    first = np.flatnonzero(off)
+    if not len(first):
         return flagged
     v = v.astype(np.float64)
-    seg = np.searchsorted(starts, candidates, side="right") - 1
+    seg = np.searchsorted(starts, first, side="right") - 1
     begin, end = starts[seg], starts[seg + 1]
+    many = np.concatenate(([0], np.cumsum(off)))
     for m in range(1, LONGEST_JUMP + 1):
-        for k in range(m):
-            p = candidates - k
-            ok = (p - 1 >= begin) & (p + m < end)
-            q = p[ok]
-            if not len(q):
-                continue
-            a, b = v[q - 1], v[q + m]
-            least = np.full(len(q), np.inf)
-            for j in range(m):
-                np.minimum(least, np.abs(v[q + j] - (a + (b - a) * ((j + 1) / (m + 1)))), out=least)
-            hit = q[(least > JUMP * scatter) & (np.abs(b - a) < 0.5 * least)]
-            for j in range(m):
-                flagged[hit + j] = True
+        p = first[(first - 1 >= begin) & (first + m < end)]
+        p = p[many[p + m] - many[p] == m]
+        if not len(p):
+            continue
+        a, b = v[p - 1], v[p + m]
+        least = np.full(len(p), np.inf)
+        for j in range(m):
+            np.minimum(least, np.abs(v[p + j] - (a + (b - a) * ((j + 1) / (m + 1)))), out=least)
+        hit = p[(least > RETURN * scatter) & (np.abs(b - a) < 0.5 * least)]
+        for j in range(m):
+            flagged[hit + j] = True
     return flagged
 
 
-Histograms = dict[tuple[str, int, str], tuple[np.ndarray, np.ndarray]]
-
-
-def _judged(block: _Block, field: str, shared: Histograms | None) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
-    """The readings of a field that are out of range or in a jump, and the lengths of constant runs by dimension."""
-    width = block.values[field].shape[1]
-    parts, where, pending = [], [], []
+def _judged(block: _Block, field: str, shared: Histograms) -> np.ndarray:
+    """The readings of a field that are out of range or in a jump. ``shared``: the statistics of the whole source."""
     bad = block.bad_range[field].copy()
-    lengths = {}
-    for dim in range(width):
-        stats = block.stats(field, dim) if shared is None else {k: shared[field, dim, k] for k in ("step", "run") if (field, dim, k) in shared}
-        if "run" in stats:
-            lengths[dim] = stats["run"]
-        if "step" not in stats:
-            continue
+    products = {dim: _square(*x) for (f, dim, kind), x in shared.items() if f == field and kind == "products"}
+    pooled = sum(products.values(), np.zeros((WIDTH, WIDTH), np.int64))
+    for dim in range(block.values[field].shape[1]):
         rows, v, starts = block.series(field, dim)
-        if len(v) < 3:
+        if (field, dim, "step") not in shared or len(v) < 3:
             continue
-        scatter = 1.4826 * _median_bin(*stats["step"])
-        at = _windows(starts, WIDTH)
-        profile = v[at]
-        middle = np.partition(profile, WIDTH // 2, axis=1)[:, WIDTH // 2]
-        parts.append((profile - middle[:, None]) / np.float32(scatter))
-        where.append(at)
-        pending.append((dim, rows, v, starts, scatter))
-    if parts:
-        sparse = robust_components(np.concatenate(parts))
-        row = 0
-        for at, (dim, rows, v, starts, scatter) in zip(where, pending):
-            mine = np.zeros(len(v), bool)
-            mine[at[sparse[row : row + len(at)]]] = True
-            row += len(at)
-            jump = _jumps(v, starts, np.flatnonzero(mine), scatter)
-            bad[rows[jump], dim] = True
-    return bad, lengths
-
-
-def detect(block: _Block, shared: Histograms | None) -> pa.Table:
-    """All bad readings of a block. ``shared``: the histograms of the whole source, if the block is not all of it."""
+        scatter = 1.4826 * _median_bin(*shared[field, dim, "step"])
+        at, profile = block.profiles(field, dim)
+        far = robust_components(profile / np.float32(scatter), normal_directions(products[dim], pooled)) > OFF
+        # a reading in two profiles is off the path if it is in both
+        off = np.ones(len(v), bool)
+        off[at[~far]] = False
+        bad[rows[_jumps(v, starts, off, scatter)], dim] = True
+    return bad
+
+
+def _square(bins: np.ndarray, n: np.ndarray) -> np.ndarray:
+    out = np.zeros(WIDTH * WIDTH, np.int64)
+    out[bins] = n
+    return out.reshape(WIDTH, WIDTH)
+
+
+def detect(block: _Block, shared: Histograms | None = None) -> pa.Table:
+    """All bad readings of a block. ``shared``: the statistics of the whole source, if the block is not all of it."""
+    shared = block.stats() if shared is None else shared
     found: list[tuple[np.ndarray, str, int]] = []
     for field in ("action", "state"):
-        bad, lengths = _judged(block, field, shared)
+        bad = _judged(block, field, shared)
         if field == "state":
-            bad |= _stuck(block, bad, lengths, shared)
+            bad |= _stuck(block, bad, shared)
         for dim in range(bad.shape[1]):
             hit = np.flatnonzero(bad[:, dim])
             if len(hit):
@@ -315,12 +343,7 @@ def _long_runs(block: _Block, bad: np.ndarray) -> dict[int, list[tuple[np.ndarra
     return out
 
 
-def _rests(runs: list[tuple[np.ndarray, bool]]) -> tuple[np.ndarray, np.ndarray]:
-    """The histogram of the lengths of the runs at rest."""
-    return np.unique(np.array([min(len(r), RUN_CAP) for r, rest in runs if rest], np.int64), return_counts=True)
-
-
-def _stuck(block: _Block, bad: np.ndarray, lengths: dict[int, tuple[np.ndarray, np.ndarray]], shared: Histograms | None) -> np.ndarray:
+def _stuck(block: _Block, bad: np.ndarray, shared: Histograms) -> np.ndarray:
     """Readings of ``state`` in runs far longer than their dimension otherwise holds a value.
 
     A robot at rest, which its source does as a matter of course, is not stuck, and rests say nothing about how long a
@@ -328,12 +351,9 @@ def _stuck(block: _Block, bad: np.ndarray, lengths: dict[int, tuple[np.ndarray,
     """
     out = np.zeros(block.values["state"].shape, bool)
     for dim, runs in _long_runs(block, bad).items():
-        own, n = lengths.get(dim, (np.zeros(0, int), np.zeros(0, int)))
-        own, n = own.astype(np.int64), n.astype(np.int64).copy()
-        rests = _rests(runs) if shared is None else shared.get(("state", dim, "rest"), (np.zeros(0, int), np.zeros(0, int)))
-        for length, many in zip(*rests):
-            at = own == length
-            n[at] = np.maximum(n[at] - many, 0)
+        own, n = (x.astype(np.int64) for x in shared.get(("state", dim, "run"), (np.zeros(0), np.zeros(0))))
+        for length, many in zip(*shared.get(("state", dim, "rest"), ((), ()))):
+            n[own == length] -= int(many)
         least = max(SHORTEST_RUN, FACTOR * _longest_chance_run(own, n)) if n.sum() else SHORTEST_RUN
         for r, rest in runs:
             if not rest and len(r) >= least:
@@ -356,8 +376,12 @@ def implausible_readings(frames: DataFrame, episodes: DataFrame, mixture: DataFr
     blk = F.pmod(F.xxhash64("episode_index"), F.coalesce(F.col("blocks"), F.lit(1))).cast("int")
     f = f.join(sizes, "src", "left").select("src", blk.alias("blk"), F.col("blocks").isNotNull().alias("split"), "global_index", "episode_index", "frame_index", "action", "state")
     e = episodes.select(src, "episode_index", "embodiment").join(F.broadcast(mixture.select("embodiment", "embodiment_type").dropDuplicates(["embodiment"])), "embodiment", "left")
-    e = e.where("episode_index is not null").groupBy("src", "episode_index").agg(F.min("embodiment_type").alias("embodiment_type"))
-    e = e.join(sizes, "src", "left").select("src", blk.alias("blk"), "episode_index", "embodiment_type")
+    e = materialize(e.where("episode_index is not null").groupBy("src", "episode_index").agg(F.min("embodiment_type").alias("embodiment_type")), "types")
+    # the type of most of a source's episodes, for those that are unknown: a row without episode_index in each of its blocks
+    usual = e.where("embodiment_type is not null").groupBy("src", "embodiment_type").agg(F.count(F.lit(1)).alias("n"))
+    usual = usual.groupBy("src").agg(F.min_by("embodiment_type", F.struct(-F.col("n"), "embodiment_type")).alias("embodiment_type")).join(sizes, "src", "left")
+    usual = usual.select("src", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)).alias("blk"), F.lit(None).cast("long").alias("episode_index"), "embodiment_type")
+    e = e.join(sizes, "src", "left").select("src", blk.alias("blk"), F.col("episode_index").cast("long").alias("episode_index"), "embodiment_type").unionByName(usual)
 
     def histograms(right: pa.Table) -> Histograms:
         s, out = right.filter(pc.is_valid(right.column("kind"))).to_pandas(), {}
@@ -365,44 +389,29 @@ def implausible_readings(frames: DataFrame, episodes: DataFrame, mixture: DataFr
             out[field, int(dim), kind] = (g["bin"].to_numpy(np.int64), g["n"].to_numpy(np.int64))
         return out
 
-    def own(right: pa.Table) -> pa.Table:
-        return right.filter(pc.is_null(right.column("kind"))) if "kind" in right.column_names else right
-
     def block_stats(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        """The histograms of a block; with those of the whole source at hand, also of its runs at rest."""
-        rows = []
-
-        def add(field: str, dim: int, kind: str, bins: np.ndarray, n: np.ndarray) -> None:
-            rows.extend((key[0].as_py(), field, dim, kind, int(x), int(y)) for x, y in zip(bins, n))
-
-        if left.num_rows:
-            b = _Block(left, own(right), limits)
-            for field in ("action", "state"):
-                for dim in range(b.values[field].shape[1]):
-                    for kind, (bins, n) in b.stats(field, dim).items():
-                        add(field, dim, kind, bins, n)
-            if "kind" in right.column_names:
-                for dim, runs in _long_runs(b, _judged(b, "state", histograms(right))[0]).items():
-                    add("state", dim, "rest", *_rests(runs))
-        return pa.table([list(c) for c in zip(*rows)], schema=_STATS_ARROW) if rows else _STATS_ARROW.empty_table()
+        if not left.num_rows:
+            return _STATS_ARROW.empty_table()
+        got = _Block(left, right, limits).stats()
+        n = [len(bins) for bins, _ in got.values()]
+        if not sum(n):
+            return _STATS_ARROW.empty_table()
+        names = [np.repeat(np.array(x, object), n).tolist() for x in zip(*got)]
+        bins, many = (np.concatenate([x[i] for x in got.values()]).astype(np.int64) for i in (0, 1))
+        return pa.table([[key[0].as_py()] * sum(n), names[0], names[1], names[2], bins, many], schema=_STATS_ARROW)
 
     def block_found(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return _OUT_ARROW.empty_table()
         shared = histograms(right) if left.column("split")[0].as_py() else None
-        return detect(_Block(left, own(right), limits), shared)
-
-    def with_merged(e: DataFrame, stats: DataFrame) -> DataFrame:
-        merged = stats.groupBy("src", "field", "dim", "kind", "bin").agg(F.sum("n").alias("n"))
-        to_blocks = merged.join(sizes, "src").select("src", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("blk"), "field", "dim", "kind", "bin", "n")
-        return e.unionByName(to_blocks, allowMissingColumns=True)
+        return detect(_Block(left, right.filter(pc.is_null(right.column("kind"))), limits), shared)
 
-    # only the sources that were split need their statistics merged beforehand: the scatter first, then the rests, which depend on it
+    # only the sources that were split need their statistics merged beforehand
     hot = f.where("split").drop("split").groupBy("src", "blk")
-    hot_e = e.join(sizes.select("src"), "src", "left_semi")
-    first = hot.cogroup(hot_e.groupBy("src", "blk")).applyInArrow(block_stats, _STATS)
-    second = hot.cogroup(with_merged(hot_e, first).groupBy("src", "blk")).applyInArrow(block_stats, _STATS)
-    right = with_merged(e, second)
+    stats = hot.cogroup(e.join(sizes.select("src"), "src", "left_semi").groupBy("src", "blk")).applyInArrow(block_stats, _STATS)
+    merged = stats.groupBy("src", "field", "dim", "kind", "bin").agg(F.sum("n").alias("n"))
+    to_blocks = merged.join(sizes, "src").select("src", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("blk"), "field", "dim", "kind", "bin", "n")
+    right = e.unionByName(to_blocks, allowMissingColumns=True)
     return f.groupBy("src", "blk").cogroup(right.groupBy("src", "blk")).applyInArrow(block_found, OUT)
 
 

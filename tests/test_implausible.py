@@ -5,7 +5,9 @@ import math
 import numpy as np
 import pytest
 
-from kinelake.operators.implausible import implausible_readings, robust_components
+from kinelake.operators import implausible as I
+from kinelake.operators.implausible import implausible_readings, normal_directions, robust_components, shape_products
+from kinelake.tables import table
 
 FRAMES = "global_index long, episode_index long, frame_index long, robot_id string, action array<float>, state array<float>, received_at timestamp, src string, blk int, n long"
 EPISODES = "episode_index long, robot_id string, embodiment string, kind string"
@@ -92,7 +94,8 @@ def test_components_find_sparse_part():
     hits = [(3, 5), (70, 12), (200, 20)]
     for i, j in hits:
         x[i, j] += 40
-    found = robust_components(x)
+    products = shape_products(x)
+    found = robust_components(x, normal_directions(products, products)) > I.OFF
     assert all(found[i, j] for i, j in hits) and found.mean() < 0.05
 
 
@@ -119,3 +122,30 @@ def test_null_global_index(spark):
     rows[2, 4][4][0] = math.nan
     got = sorted(map(tuple, implausible_readings(*tables(spark, rows.values())).collect()), key=str)
     assert got == sorted([(None, "action", 0), (None, "action", 1), (rows[2, 4][0], "action", 0)], key=str)
+
+
+def test_components_decide(spark, monkeypatch):
+    """Without the components, every reading being off the path, the exact check alone gives other and more rows."""
+    frames, episodes, mixture, ranges = (table(spark, "/root/testdata/sf0.01", n) for n in ("frames", "episodes", "mixture", "joint_ranges"))
+    t = frames.where("robot_id = 'rb-000000'").select("global_index", "episode_index", "frame_index", "action", "state").toArrow()
+    e = episodes.where("robot_id = 'rb-000000'").join(mixture, "embodiment").select(episodes.episode_index, "embodiment_type").distinct().toArrow()
+    block = I._Block(t, e, I._ranges(ranges, 1000))
+    with_components = set(zip(*(c.to_pylist() for c in I.detect(block).columns)))
+    monkeypatch.setattr(I, "robust_components", lambda x, basis: np.full(x.shape, np.inf))
+    without = set(zip(*(c.to_pylist() for c in I.detect(block).columns)))
+    assert with_components < without and len(without) >= len(with_components) + 3
+
+
+def test_blocks_give_the_rows_of_whole_sources(spark):
+    t = [table(spark, "/root/testdata/sf0.001", n) for n in ("frames", "episodes", "mixture", "joint_ranges")]
+    whole, split = (implausible_readings(*t, block_rows=n) for n in (10**9, 60))
+    assert whole.count() > 100 and whole.exceptAll(split).count() == split.exceptAll(whole).count() == 0
+
+
+def test_unknown_episode_takes_the_usual_type_of_its_source(spark):
+    rows = make(episodes=30)
+    rows[29, 3][4][0] = 3.5
+    f, e, m, r = tables(spark, rows.values())
+    for n in (10**9, 100):
+        got = {tuple(x) for x in implausible_readings(f, e.where("episode_index < 20"), m, r, block_rows=n).collect()}
+        assert (rows[29, 3][0], "action", 0) in got
