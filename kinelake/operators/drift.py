@@ -2,8 +2,9 @@
 
 Method: similarity flooding. The features of a file and of its predecessor become two graphs of names, name prefixes
 (nesting), types, shapes and the parts that read them. A pair of features starts with the likeness of their names; pairs
-pass their score on to pairs of neighbours over equal edges until the scores converge. The best pairs of either side are the
-correspondences, from which an exact test keeps those in which a part reads the new name at the place of the old.
+pass their score on to pairs of neighbours over equal edges until the scores converge. Of all pairs of a vanished and a new feature the
+best are selected one by one, each feature once. A selected pair is a renaming if it passes the exact check that a part
+reads the new name at the place of the old; so of two new names that parts read at the place of one old name the scores choose one.
 Origins of names are then followed back over all files of a dataset, values are cast to the common type and united.
 
 Defined results: copies of a file (same ``file_id``) count once; files are ordered by ``written_at``, then ``file_id``, nulls first; a
@@ -15,9 +16,11 @@ from __future__ import annotations
 
 import json
 import re
-from collections import defaultdict
+import warnings
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +30,10 @@ from kinelake.session import materialize
 from kinelake.skew import hot_split_join
 
 CHANGES = "file_id long, field string, change string, old_name string, old_type string, new_type string"
-#: Scores have converged when none changes by more than this; rounds at most.
-EPSILON, ROUNDS = 1e-4, 60
+#: Scores have converged when none changes by more than this.
+EPSILON = 1e-6
+#: Rounds after which a warning says that they have not; a few dozen are usual.
+MOST_ROUNDS = 10_000
 #: Weight of an edge label in passing on scores.
 EDGE_WEIGHT = {"reads": 2.0, "dtype": 0.5, "shape": 0.5, "inside": 0.5}
 
@@ -127,31 +132,38 @@ def flood(gone: dict[str, tuple], new: dict[str, tuple], before: dict[tuple, lis
                 sigma0[node] = 1.0
                 connect(f, node, EDGE_WEIGHT["reads"])
     # an edge's weight is shared out among the edges of its kind that leave a node
-    out = {x: [(y, w / sum(1 for z, _ in ys if z[0] == y[0])) for y, w in ys] for x, ys in edges.items()}
-    sigma = dict(sigma0)
-    for _ in range(ROUNDS):
-        nxt = {}
-        for x, s in sigma.items():
-            nxt[x] = sigma0[x] + s
-        for x, ys in out.items():
-            push = sigma0[x] + sigma[x]
-            for y, w in ys:
-                nxt[y] += w * push
-        top = max(nxt.values())
-        nxt = {x: s / top for x, s in nxt.items()}
-        moved = max(abs(nxt[x] - sigma[x]) for x in nxt)
+    nodes = list(sigma0)
+    at = {x: i for i, x in enumerate(nodes)}
+    push = np.zeros((len(nodes), len(nodes)))
+    for x, ys in edges.items():
+        kinds = Counter(y[0] for y, _ in ys)
+        for y, w in ys:
+            push[at[y], at[x]] += w / kinds[y[0]]
+    # one round adds what the neighbours of start and score push; the largest score is 1. Every node keeps its own score, so rounds can't swing for ever
+    start = np.array([sigma0[x] for x in nodes])
+    step = push + np.eye(len(nodes))
+    sigma = start
+    for _ in range(MOST_ROUNDS):
+        nxt = step @ (start + sigma)
+        nxt /= nxt.max()
+        moved = np.abs(nxt - sigma).max()
         sigma = nxt
         if moved < EPSILON:
             break
-    return {(a, b): sigma["f", a, b] for a, b in pairs}
-
-
-def correspondences(scores: dict[tuple[str, str], float]) -> set[tuple[str, str]]:
-    """The pairs that are best for their old or for their new name (ties: all of them)."""
-    best_old, best_new = defaultdict(float), defaultdict(float)
-    for (a, b), s in scores.items():
-        best_old[a], best_new[b] = max(best_old[a], s), max(best_new[b], s)
-    return {(a, b) for (a, b), s in scores.items() if s >= best_old[a] - 1e-9 or s >= best_new[b] - 1e-9}
+    else:
+        warnings.warn(f"similarity flooding still moves by {moved} after {MOST_ROUNDS} rounds", stacklevel=2)
+    return {(a, b): float(sigma[at["f", a, b]]) for a, b in pairs}
+
+
+def correspondences(scores: dict[tuple[str, str], float]) -> list[tuple[str, str]]:
+    """Pairs in which each old and each new name occurs once: the best pair, then the best of the rest, and so on; ties go by name."""
+    old, new, out = set(), set(), []
+    for a, b in sorted(scores, key=lambda p: (-round(scores[p], 9), p)):
+        if a not in old and b not in new:
+            out.append((a, b))
+            old.add(a)
+            new.add(b)
+    return out
 
 
 def compare(old: dict, new: dict, before: dict[tuple, list[str]], after: dict[tuple, list[str]]) -> list[tuple[str, str, str | None, str | None, str | None]]:
@@ -163,9 +175,9 @@ def compare(old: dict, new: dict, before: dict[tuple, list[str]], after: dict[tu
     if gone and come:
         reads = {(x, y) for part, names in before.items() for x, y in zip(names, after.get(part, ()))}
         scores = flood(gone, come, before, after)
-        for a, b in sorted(correspondences(scores), key=lambda p: (-scores[p], p)):
+        for a, b in correspondences(scores):
             if (a, b) in reads:
-                renamed.setdefault(b, a)
+                renamed[b] = a
                 used.add(a)
 
     def spelled(t: tuple) -> str:
@@ -220,7 +232,9 @@ def schema_changes(info_files: DataFrame, shape_meta: DataFrame) -> DataFrame:
 
 
 def name_origins(changes: DataFrame, files: DataFrame) -> DataFrame:
-    """For every renamed name the name it had at first: dataset_dir, name, origin, since, until (exclusive).
+    """For every renamed name the name it had at first: dataset_dir, name, origin, origin_at, since, until (exclusive).
+
+    ``origin_at`` is the file in which the origin appeared, null if it is in the dataset's first file.
 
     ``since`` and ``until`` are structs of ``written_at`` and ``file_id``. Renamings are followed back by doubling, so a
     chain of k renamings takes about log2(k) rounds.
@@ -243,7 +257,7 @@ def name_origins(changes: DataFrame, files: DataFrame) -> DataFrame:
         step = new.drop("moved")
         if not new.where("moved").limit(1).count():
             break
-    return step.select("dataset_dir", "name", F.col("old").alias("origin"), F.col("at").alias("since"), "until")
+    return step.select("dataset_dir", "name", F.col("old").alias("origin"), F.col("old_at").alias("origin_at"), F.col("at").alias("since"), "until")
 
 
 def _kind(types: list[tuple[str, bool]]) -> str:
@@ -281,23 +295,31 @@ def unified_records(raw_records: DataFrame, info_files: DataFrame, shape_meta: D
     values: long, double, boolean, string or array of double. A line delivered twice counts once (a complete copy
     before a cut-off one); a cut-off line stays with ``is_corrupt`` and nulls; a value that isn't of its column's
     type is null; values of names that the file's features do not list are left out. More than ``max_columns`` columns
-    are an error. Names are written with underscores; where two become the same, the later one gets a number.
+    are an error. Names are written with underscores; where two become the same, the later one gets a number, and so does a
+    name that appears anew after the feature that had it was renamed.
     """
     files = materialize(_files(info_files), "files")
-    changes = changes if changes is not None else schema_changes(info_files, shape_meta)
-    origins = materialize(name_origins(materialize(changes, "changes"), files), "origins")
+    changes = materialize(changes if changes is not None else schema_changes(info_files, shape_meta), "changes")
+    origins = materialize(name_origins(changes, files), "origins")
     spelled = F.from_json("features", "map<string,struct<dtype:string,shape:string>>")
     listed = files.select("file_id", "dataset_dir", F.struct("written_at", "file_id").alias("at"), F.explode_outer(spelled).alias("name", "t")).where("name is not null")
     found = listed.join(origins, ["dataset_dir", "name"], "left").where("since is null or (at >= since and (until is null or at < until))")
     # a name can be renamed to more than once; rows outside of all its spans keep the name as it is
-    named = listed.join(found.where("origin is not null").select("file_id", "name", "origin"), ["file_id", "name"], "left").withColumn("column", F.coalesce("origin", "name"))
+    named = listed.join(found.where("origin is not null").select("file_id", "name", "origin", "origin_at"), ["file_id", "name"], "left")
+    # a name that was renamed away and then appears anew is another feature: the number of renamings before it came tells them apart
+    away = changes.where("change = 'renamed'").join(files.select("file_id", "dataset_dir", F.struct("written_at", "file_id").alias("away_at")), "file_id").select("dataset_dir", F.col("old_name").alias("origin"), "away_at")
+    named = named.withColumn("born", F.when(F.col("origin").isNull(), F.col("at")).otherwise(F.col("origin_at"))).withColumn("origin", F.coalesce("origin", "name"))
+    number = named.select("dataset_dir", "origin", "born").where("born is not null").distinct().join(away, ["dataset_dir", "origin"]).where("away_at < born").groupBy("dataset_dir", "origin", "born").agg(F.count(F.lit(1)).alias("before"))
+    named = named.join(number, ["dataset_dir", "origin", "born"], "left")
+    named = named.withColumn("column", F.when(F.col("before") > 0, F.concat("origin", F.lit("~"), (F.col("before") + 1).cast("string"))).otherwise(F.col("origin")))
     dtype = F.regexp_replace(F.lower(F.trim(F.coalesce("t.dtype", F.lit("")))), r"^(torch|numpy|np|jnp|tf)\.", "")
     one = F.coalesce(F.regexp_extract_all(F.col("t.shape"), F.lit(r"([0-9]+)"), F.lit(1)) == F.array(F.lit("1")), F.lit(False))
     named = materialize(named.select("file_id", "dataset_dir", "name", "column", dtype.alias("dtype"), one.alias("one")), "names")
     types = named.groupBy("column").agg(F.collect_set(F.struct("dtype", "one")).alias("t")).orderBy("column").limit(max_columns + 1).collect()
     if len(types) > max_columns:
         raise ValueError(f"more than {max_columns} columns")
-    per_file = named.groupBy("file_id", "dataset_dir").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("column", "name")))).alias("names"))
+    per_file = named.groupBy("file_id", "dataset_dir", "column").agg(F.min("name").alias("name"))
+    per_file = per_file.groupBy("file_id", "dataset_dir").agg(F.map_from_entries(F.collect_list(F.struct("column", "name"))).alias("names"))
     per_file = files.select("file_id").join(per_file, "file_id", "left").withColumn("dataset_dir", F.col("dataset_dir"))
     parsed = F.from_json("record", "map<string,string>")
     rows = raw_records.where("file_id is not null").select("file_id", "line_no", "record", parsed.alias("m"), "received_at")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kinelake.operators.drift import schema_changes, unified_records
 from kinelake.operators.implausible import implausible_readings
@@ -64,3 +65,25 @@ def p2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw records in one table of stable columns and types."""
     return unified_records(*(table(spark, sf_dir, n) for n in ("raw_records", "info_files", "shape_meta")))
+
+
+_P2_VALUES = r"""
+WITH f AS (
+  SELECT file_id, arg_min(dataset_dir, received_at) AS dataset_dir, arg_min(features, received_at) AS j FROM info_files GROUP BY file_id),
+d AS (SELECT DISTINCT file_id, line_no, record, received_at, coalesce(json_valid(record), false) AS ok FROM raw_records WHERE file_id IS NOT NULL),
+r AS (
+  SELECT file_id, line_no, record, ok FROM d
+  QUALIFY row_number() OVER (PARTITION BY file_id, line_no ORDER BY NOT ok, received_at NULLS LAST, record NULLS FIRST) = 1)
+SELECT r.file_id, line_no, dataset_dir, NOT ok AS is_corrupt,
+  CASE WHEN ok AND list_contains(json_keys(j), 'task_index') THEN TRY_CAST(json_extract_string(record, '$.task_index') AS BIGINT) END AS task_index,
+  CASE WHEN ok AND list_contains(json_keys(j), 'frame_index') THEN TRY_CAST(json_extract_string(record, '$.frame_index') AS BIGINT) END AS frame_index,
+  CASE WHEN ok AND list_contains(json_keys(j), 'timestamp') THEN round(TRY_CAST(json_extract_string(record, '$.timestamp') AS DOUBLE), 6) END AS timestamp_s
+FROM r LEFT JOIN f ON f.file_id = r.file_id
+"""
+
+
+@query("p2_record_values", _P2_VALUES)
+def p2_record_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record once, with the columns of the united table that all data sets have."""
+    u = unified_records(*(table(spark, sf_dir, n) for n in ("raw_records", "info_files", "shape_meta")))
+    return u.select("file_id", "line_no", "dataset_dir", "is_corrupt", "task_index", "frame_index", F.round("timestamp", 6).alias("timestamp_s"))

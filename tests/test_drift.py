@@ -54,3 +54,47 @@ def test_records(spark):
 def test_empty(spark):
     r, i, p = (t.limit(0) for t in tables(spark))
     assert schema_changes(i, p).count() == 0 and unified_records(r, i, p).count() == 0
+
+
+def test_name_that_appears_anew_after_its_renaming(spark):
+    def file(i, names, part):
+        return (i, "d", json.dumps({n: spec() for n in names}), i, i), (i, "action", "arm", part)
+
+    info, parts = zip(file(1, ["a"], "a"), file(2, ["b"], "b"), file(3, ["b", "a"], "b"), file(4, ["a"], "a"), file(5, ["c"], "c"), file(6, ["c", "a"], "c"))
+    recs = [(1, '{"a": 1}'), (2, '{"b": 2}'), (3, '{"b": 3, "a": 30}'), (4, '{"a": 40}'), (5, '{"c": 50}'), (6, '{"c": 60, "a": 600}')]
+    r = spark.createDataFrame([(i, 0, x, 1) for i, x in recs], "file_id long, line_no long, record string, received_at long")
+    i = spark.createDataFrame(info, "file_id long, dataset_dir string, features string, written_at long, received_at long")
+    p = spark.createDataFrame(parts, "file_id long, category string, part_key string, lerobot_key string")
+    got = unified_records(r, i, p).orderBy("file_id").collect()
+    assert [x["a"] for x in got] == [1.0, 2.0, 3.0, None, None, None]
+    assert [x["a_2"] for x in got] == [None, None, 30.0, 40.0, 50.0, 60.0]
+    assert [x["a_3"] for x in got] == [None] * 5 + [600.0]
+
+
+def test_flooding_settles_which_new_name_continues_the_old(monkeypatch):
+    """Two parts that read one old name read two new ones now: the scores choose, by names, types and nesting together."""
+    from kinelake.operators import drift
+
+    v = ("float32", (6,))
+    old, new = {"obs.wrench": v, "index": v}, {"all.total": ("float64", (9,)), "obs.wrench_v2": v, "index": v}
+    before = {("state", "p"): ["obs.wrench"], ("state", "q"): ["obs.wrench"]}
+    after = {("state", "p"): ["all.total"], ("state", "q"): ["obs.wrench_v2"]}
+    want = {("obs.wrench_v2", "renamed"), ("all.total", "added")}
+    assert {x[:2] for x in compare(old, new, before, after)} == want
+    three, come = {"m.x": v, "m.y": v, "m.z": v}, {"n.z": v, "n.y": v, "n.x": v, "b": v}
+    reads = [{("s", k): [f"{side}.{k}"] for k in "xyz"} for side in "mn"]
+    renamed = {(x[2], x[0]) for x in compare(three, come, *reads) if x[1] == "renamed"}
+    assert renamed == {(f"m.{k}", f"n.{k}") for k in "xyz"}
+    monkeypatch.setattr(drift, "flood", lambda gone, new, *_: {(a, b): 0.0 for a in gone for b in new})
+    assert {x[:2] for x in compare(old, new, before, after)} != want
+    assert sum(x[1] == "renamed" for x in compare(three, come, *reads)) < 3
+
+
+def test_flooding_converges():
+    from kinelake.operators.drift import flood
+
+    many = {f"a.f{i}": ("f", (i % 3,)) for i in range(12)}, {f"b.f{i}": ("f", (i % 3,)) for i in range(12)}
+    reads = [{("s", str(i)): [f"{side}.f{i}"] for i in range(0, 12, 2)} for side in "ab"]
+    scores = flood(*many, *reads)
+    assert len(scores) == 144 and max(scores.values()) <= 1 and min(scores.values()) > 0
+    assert flood({}, many[1], {}, {}) == {}
