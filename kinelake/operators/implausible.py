@@ -45,7 +45,7 @@ _STATS_ARROW = pa.schema([("src", pa.string()), ("field", pa.string()), ("dim",
 _STATS = "src string, field string, dim int, kind string, bin long, n long"
 
 
-def matrix(column: pa.ChunkedArray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def matrix(column: pa.ChunkedArray, order: np.ndarray, dtype: type = np.float32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The vectors of a list column in the given row order: values (rows, widest), NaN where there is none; what is there; the widths."""
     lists = column.combine_chunks()
     if isinstance(lists, pa.ChunkedArray):
@@ -56,13 +56,13 @@ def matrix(column: pa.ChunkedArray, order: np.ndarray) -> tuple[np.ndarray, np.n
     start = offsets[:-1][order]
     flat = lists.values
     there = ~np.asarray(flat.is_null()) if flat.null_count else None
-    values = flat.to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
+    values = flat.to_numpy(zero_copy_only=False).astype(dtype, copy=False)
     most = int(width.max()) if len(width) else 0
     at = start[:, None] + np.arange(most)
     inside = np.arange(most) < width[:, None]
     at = np.where(inside, at, 0)
     if not len(values):
-        return np.full(at.shape, np.nan, np.float32), np.zeros(at.shape, bool), width
+        return np.full(at.shape, np.nan, dtype), np.zeros(at.shape, bool), width
     return values[at], inside if there is None else inside & there[at], width
 
 
