@@ -1,20 +1,21 @@
 """Percentiles of very large numeric columns by radix selection.
 
-Method: floating values become integers of the same order; the first digit (``DIGITS[0]`` leading bits) is counted in
+Method: floating values become integers of the same order, of 32 bits for float and of 64 for double; the first digit (``DIGIT`` leading bits) is counted in
 a histogram per part (a dataset, a day), which is the partial result that is stored and combined later. From the sum
 of any parts' histograms each target rank is followed into the one digit that holds it, the next bits are counted only
-for values with that prefix, and so on until all 32 bits are known.
+for values with that prefix, and so on until all bits are known: two passes for float, four for double.
 
 Error bound: after any number of digits the percentile lies between the smallest and the largest value with the
 prefix found (``low``, ``high``); after the last digit both are the same, so the result is exact. Merged partials
-alone (``bracket``) bound it within one first digit: values of the same sign differ by less than a quarter of a
-power of two.
+alone (``bracket``) bound it within one first digit: for float, values of the same sign differ by less than 1/128 of a
+power of two, for double by less than 1/16.
 
 The percentile q of n values is linearly interpolated between the order statistics ``floor(q (n-1))`` and
 ``ceil(q (n-1))``, counted from 0.
 
 Defined results: null, NaN and infinite values are left out, and so are null vectors; -0.0 counts as 0.0; a group
-without values has no row; an empty table gives an empty result; rows without a group are left out.
+without values has no row; an empty table gives an empty result; rows without a group are left out. Fields of integers of up to 32 bits count as
+double; long and decimal fields are refused, since not all their values are doubles.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from kinelake.operators.implausible import matrix
 from kinelake.session import materialize
 from kinelake.skew import bounded_broadcast
 
-#: Bits of the successive digits; together the 32 of a float.
-DIGITS = (11, 11, 10)
+#: Bits of a digit.
+DIGIT = 16
 #: Names and ranks of the percentiles.
 QUANTILES = (("q0001", 0.0001), ("q001", 0.001), ("q01", 0.01), ("q50", 0.5), ("q99", 0.99), ("q999", 0.999), ("q9999", 0.9999))
 
@@ -42,23 +43,35 @@ _COUNTS_ARROW = pa.schema(
 
 
 def ordered_keys(v: np.ndarray) -> np.ndarray:
-    """float32 values as unsigned integers of the same order."""
-    bits = (v + np.float32(0)).view(np.uint32)  # -0.0 becomes 0.0
-    return np.where(bits >> 31 == 1, ~bits, bits | np.uint32(1 << 31))
+    """float32 or float64 values as unsigned integers of the same order and width."""
+    kind = np.uint32 if v.dtype == np.float32 else np.uint64
+    top = kind(8 * v.dtype.itemsize - 1)
+    bits = (v + v.dtype.type(0)).view(kind)  # -0.0 becomes 0.0
+    return np.where(bits >> top == 1, ~bits, bits | kind(1) << top)
 
 
-def key_values(k: np.ndarray) -> np.ndarray:
-    """The float32 values of ordered integers."""
-    k = k.astype(np.uint32)
-    return np.where(k >> 31 == 1, k & np.uint32((1 << 31) - 1), ~k).astype(np.uint32).view(np.float32)
+def key_values(k: np.ndarray, width: int) -> np.ndarray:
+    """The values of ordered integers of 32 or 64 bits."""
+    kind, real = (np.uint32, np.float32) if width == 32 else (np.uint64, np.float64)
+    k, top = k.astype(kind), kind(width - 1)
+    return np.where(k >> top == 1, k & ~(kind(1) << top), ~k).astype(kind).view(real)
 
 
-def _count(df: DataFrame, fields: tuple[str, ...], done: int, bits: int, targets: np.ndarray | None, groups: list[str] | None, parts: bool) -> DataFrame:
-    """Histograms of the digit of ``bits`` bits after the first ``done``, of all values or only of those with a target's prefix.
+def _width(df: DataFrame, fields: tuple[str, ...]) -> int:
+    """Bits of the keys: 32 if all fields are arrays of float, else 64."""
+    kinds = {df.schema[f].dataType.elementType.typeName() for f in fields}
+    if not kinds <= {"float", "double", "integer", "short", "byte"}:
+        raise TypeError(f"fields of {sorted(kinds)}: cast them to double, if that keeps their values")
+    return 32 if kinds == {"float"} else 64
 
-    ``targets``: sorted codes ``((group * len(fields) + field) * 2**16 + dim) << done | prefix``.
+
+def _count(df: DataFrame, fields: tuple[str, ...], width: int, done: int, targets: tuple[np.ndarray, np.ndarray] | None, groups: list[str] | None, parts: bool) -> DataFrame:
+    """Histograms of the digit after the first ``done`` bits, of all values or only of those with a target's prefix.
+
+    ``targets``: the sorted prefixes there are, and the sorted codes ``((group * len(fields) + field) * 2**16 + dim) << 24 | prefix's number``.
     """
-    shift = 32 - done - bits
+    bits, shift = DIGIT, width - done - DIGIT
+    real = np.float32 if width == 32 else np.float64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[tuple[str | None, str], int] = {}
@@ -91,16 +104,21 @@ def _count(df: DataFrame, fields: tuple[str, ...], done: int, bits: int, targets
                 key = (dirs[u // len(names)], names[u % len(names)])
                 local[pair == u] = codes.setdefault(key, len(codes)) if targets is None else group_code.get(key[1], (1 << 14) - 1)
             for f, field in enumerate(fields):
-                v, there, _ = matrix(t.column(field), every)
+                v, there, _ = matrix(t.column(field), every, real)
                 use = there & np.isfinite(v) & (g >= 0)[:, None]
                 if not use.any():
                     continue
                 head = (local[:, None] * np.uint64(len(fields)) + np.uint64(f)) * np.uint64(1 << 16) + np.arange(v.shape[1], dtype=np.uint64)
                 key = ordered_keys(v[use]).astype(np.uint64)
-                code = (head[use] << np.uint64(done)) | (key >> np.uint64(32 - done))
+                code = head[use]
                 if targets is not None:
-                    at = np.minimum(np.searchsorted(targets, code), len(targets) - 1)
-                    hit = targets[at] == code
+                    prefixes, wanted = targets
+                    prefix = key >> np.uint64(width - done)
+                    at = np.minimum(np.searchsorted(prefixes, prefix), len(prefixes) - 1)
+                    hit = prefixes[at] == prefix
+                    code, key = code[hit] << np.uint64(24) | at[hit].astype(np.uint64), key[hit]
+                    at = np.minimum(np.searchsorted(wanted, code), len(wanted) - 1)
+                    hit = wanted[at] == code
                     code, key = at[hit].astype(np.uint64), key[hit]
                 code = (code << np.uint64(bits)) | ((key >> np.uint64(shift)) & np.uint64((1 << bits) - 1))
                 u, n = np.unique(code, return_counts=True)
@@ -117,10 +135,11 @@ def _count(df: DataFrame, fields: tuple[str, ...], done: int, bits: int, targets
         owner = u >> np.uint64(bits)
         cut = np.concatenate(([0], np.flatnonzero(owner[1:] != owner[:-1]) + 1, [len(u)])).astype(np.int32)
         first = owner[cut[:-1]]
-        if targets is not None:
-            first = targets[first.astype(np.int64)]
-        prefix = (first & np.uint64((1 << done) - 1)).astype(np.int64)
-        head = first >> np.uint64(done)
+        if targets is None:
+            head, prefix = first, np.zeros(len(first), np.int64)
+        else:
+            first = targets[1][first.astype(np.int64)]
+            head, prefix = first >> np.uint64(24), targets[0][(first & np.uint64((1 << 24) - 1)).astype(np.int64)].view(np.int64)
         dim, rest = (head & np.uint64(0xFFFF)).astype(np.int32), head >> np.uint64(16)
         field = [fields[int(x)] for x in rest % np.uint64(len(fields))]
         who = (rest // np.uint64(len(fields))).astype(np.int64)
@@ -138,13 +157,13 @@ def _count(df: DataFrame, fields: tuple[str, ...], done: int, bits: int, targets
     return df.mapInArrow(run, _COUNTS)
 
 
-def partials(df: DataFrame, fields: tuple[str, ...], digits: tuple[int, ...] = DIGITS) -> DataFrame:
+def partials(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     """The partial result of each part: one row per part, group, field and dimension with the histogram of the first digit.
 
     ``df`` has ``part``, ``group`` and the ``fields``, which are arrays of floats. Rows of one key may come more than
     once (one per task); ``merge`` adds them up, now or later, together with those of any other parts.
     """
-    return _count(df.select("part", "group", *fields), fields, 0, digits[0], None, None, True)
+    return _count(df.select("part", "group", *fields), fields, _width(df, fields), 0, None, None, True)
 
 
 def merge(counts: DataFrame) -> DataFrame:
@@ -153,7 +172,7 @@ def merge(counts: DataFrame) -> DataFrame:
     return flat.groupBy("group", "field", "dim", "prefix", F.col("z.digits").alias("digit")).agg(F.sum("z.counts").alias("n"))
 
 
-def follow(merged: DataFrame, ranks: DataFrame, bits: int) -> DataFrame:
+def follow(merged: DataFrame, ranks: DataFrame) -> DataFrame:
     """The digit that holds each target rank: the ranks with a longer prefix, and the rank left inside it.
 
     ``ranks``: group, field, dim, prefix, rank (from 0 within the prefix) and further columns, which are kept.
@@ -161,7 +180,7 @@ def follow(merged: DataFrame, ranks: DataFrame, bits: int) -> DataFrame:
     w = Window.partitionBy("group", "field", "dim", "prefix").orderBy("digit")
     cum = merged.withColumn("upto", F.sum("n").over(w)).withColumn("before", F.col("upto") - F.col("n"))
     hit = ranks.join(cum, ["group", "field", "dim", "prefix"]).where("rank >= before and rank < upto")
-    return hit.withColumn("rank", F.col("rank") - F.col("before")).withColumn("prefix", F.col("prefix") * (1 << bits) + F.col("digit")).drop("digit", "n", "upto", "before")
+    return hit.withColumn("rank", F.col("rank") - F.col("before")).withColumn("prefix", F.shiftleft("prefix", DIGIT).bitwiseOR(F.col("digit").cast("long"))).drop("digit", "n", "upto", "before")
 
 
 def target_ranks(merged: DataFrame, quantiles: tuple[tuple[str, float], ...] = QUANTILES) -> DataFrame:
@@ -175,18 +194,18 @@ def target_ranks(merged: DataFrame, quantiles: tuple[tuple[str, float], ...] = Q
     return both.select("group", "field", "dim", F.lit(0).cast("long").alias("prefix"), "total", "quantile", "q", "at", "side", rank.alias("rank"))
 
 
-def bracket(found: DataFrame, bits_known: int) -> DataFrame:
-    """Percentiles with bounds from ranks whose first ``bits_known`` bits were followed: low <= percentile <= high."""
-    shift = 32 - bits_known
-    key_low = F.col("prefix") * F.lit(1 << shift)
-    key_high = key_low + F.lit((1 << shift) - 1)
+def bracket(found: DataFrame, bits_known: int, width: int = 32) -> DataFrame:
+    """Percentiles with bounds from ranks whose first ``bits_known`` of ``width`` bits were followed: low <= percentile <= high."""
+    shift = width - bits_known
+    key_low = F.shiftleft("prefix", shift)
+    key_high = key_low.bitwiseOR(F.lit((1 << shift) - 1))
     a = found.where("side = 0").select("group", "field", "dim", "quantile", "q", "total", "at", key_low.alias("k0"), key_high.alias("k1"))
     b = found.where("side = 1").select("group", "field", "dim", "quantile", key_low.alias("k2"), key_high.alias("k3"))
     j = a.join(b, ["group", "field", "dim", "quantile"])
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            k = [key_values(x.column(c).to_numpy(zero_copy_only=False).astype(np.int64)).astype(np.float64) for c in ("k0", "k1", "k2", "k3")]
+            k = [key_values(x.column(c).to_numpy(zero_copy_only=False).view(np.uint64), width).astype(np.float64) for c in ("k0", "k1", "k2", "k3")]
             share = x.column("at").to_numpy(zero_copy_only=False) % 1.0
             low, high = (lo + (hi - lo) * share for lo, hi in ((k[0], k[2]), (k[1], k[3])))
             cols = [x.column(c) for c in ("group", "field", "dim", "quantile", "q", "total")]
@@ -195,30 +214,31 @@ def bracket(found: DataFrame, bits_known: int) -> DataFrame:
     return j.mapInArrow(values, "group string, field string, dim int, quantile string, q double, n long, low double, high double")
 
 
-def radix_percentiles(df: DataFrame, fields: tuple[str, ...], quantiles: tuple[tuple[str, float], ...] = QUANTILES, digits: tuple[int, ...] = DIGITS, max_targets: int = 5_000_000) -> DataFrame:
+def radix_percentiles(df: DataFrame, fields: tuple[str, ...], quantiles: tuple[tuple[str, float], ...] = QUANTILES, max_targets: int = 5_000_000) -> DataFrame:
     """Exact percentiles per group, field and dimension: group, field, dim, quantile, q, n, low, high.
 
     One pass over ``df`` per digit. What the tasks get to know between passes is the targets' prefixes, at most two
     per group, field, dimension and percentile; more than ``max_targets`` are an error, not a guess.
     """
-    merged = materialize(merge(partials(df, fields, digits)), "digits")
-    ranks = follow(merged, target_ranks(merged, quantiles), digits[0])
-    done = digits[0]
-    for bits in digits[1:]:
+    width = _width(df, fields)
+    merged = materialize(merge(partials(df, fields)), "digits")
+    ranks = follow(merged, target_ranks(merged, quantiles))
+    done = DIGIT
+    while done < width:
         ranks = materialize(ranks, "ranks")
         wanted = ranks.select("group", "field", "dim", "prefix").distinct().limit(max_targets + 1).toPandas()
         if len(wanted) > max_targets:
             raise ValueError(f"more than {max_targets} targets")
+        if not len(wanted):
+            break
         groups = sorted(wanted["group"].unique())
         code = {g: i for i, g in enumerate(groups)}
         head = (wanted["group"].map(code).to_numpy(np.uint64) * np.uint64(len(fields)) + wanted["field"].map({f: i for i, f in enumerate(fields)}).to_numpy(np.uint64)) * np.uint64(1 << 16)
-        targets = np.unique(((head + wanted["dim"].to_numpy(np.uint64)) << np.uint64(done)) | wanted["prefix"].to_numpy(np.uint64)) if len(wanted) else np.zeros(0, np.uint64)
-        if not len(targets):
-            break
-        counted = _count(df.select("group", *fields), fields, done, bits, targets, groups, False)
-        ranks = follow(merge(counted), ranks, bits)
-        done += bits
-    return bracket(ranks, done)
+        prefixes, number = np.unique(wanted["prefix"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
+        targets = np.unique((head + wanted["dim"].to_numpy(np.uint64)) << np.uint64(24) | number.astype(np.uint64))
+        ranks = follow(merge(_count(df.select("group", *fields), fields, width, done, (prefixes, targets), groups, False)), ranks)
+        done += DIGIT
+    return bracket(ranks, done, width)
 
 
 def readings_by_type(frames: DataFrame, episodes: DataFrame, mixture: DataFrame, fields: tuple[str, ...] = ("action", "state")) -> DataFrame:
