@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-import numpy as np
-
 
 @lru_cache(maxsize=64)
 def _table(length: int, least: int) -> tuple[list[int], ...]:
@@ -82,14 +80,3 @@ def repaired(bits: list[int], short: int) -> list[int]:
             return b
         for i in range(cuts[bad], cuts[bad + 1]):
             b[i] = b[cuts[bad] - 1]
-
-
-def lloyd(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
-    """Centres after some rounds of k-means from the first ``k`` rows; an empty cluster keeps its centre."""
-    c = x[:k].astype(float).copy()
-    for _ in range(rounds):
-        z = ((x[:, None] - c[None]) ** 2).sum(2).argmin(1)
-        for j in range(len(c)):
-            if (z == j).any():
-                c[j] = x[z == j].mean(0)
-    return c

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinelake.session import materialize
+from kinelake.skew import bounded_broadcast
+
 FINITE = "v is not null and not isnan(v) and abs(v) < double('inf')"
 
 
@@ -28,15 +33,35 @@ def merged(n: str = "n", mean: str = "mean", std: str = "std") -> tuple[Column,
     return m, F.sqrt(F.greatest(square - m * m, F.lit(0.0)))
 
 
-def order_statistics(x: DataFrame, keys: list[str], quantiles: list[tuple[str, float]]) -> DataFrame:
+def value_bin(v: Column) -> Column:
+    """A whole number that never falls as ``v`` rises: 32 bins for each power of two, apart by sign."""
+    size = F.floor(F.log2(F.abs(v)) * 32).cast("long") + 40_000
+    return F.when(v == 0, F.lit(0).cast("long")).otherwise(F.when(v > 0, size).otherwise(-size))
+
+
+def order_statistics(x: DataFrame, keys: list[str], quantiles: list[tuple[str, float]], weights: list[Column] | None = None) -> DataFrame:
     """The order statistic ``floor(q (n - 1))`` (from 0) of ``v`` by key: exact, and one of the values.
 
-    Values are counted first, so equal values cost one row in the sort.
+    No task sorts a whole key: values are counted in bins first, and only the bins that hold a wanted rank are counted by
+    value and sorted, each by itself. With ``weights`` a row counts as often as each of them says, and names get ``_0``, ``_1``, ...
     """
-    c = x.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c"))
+    many = weights or [F.lit(1)]
+    names = [[f"{name}_{i}" if weights else name for name, _ in quantiles] for i in range(len(many))]
+    sums = [F.sum(w).cast("long").alias(f"w{i}") for i, w in enumerate(many)]
+    b = x.withColumn("__bin", value_bin(F.col("v")))
     w = Window.partitionBy(*keys)
-    c = c.withColumn("upto", F.sum("c").over(w.orderBy("v"))).withColumn("n", F.sum("c").over(w))
-    take = [F.min(F.when(F.col("upto") > F.floor(F.lit(q) * (F.col("n") - 1)), F.col("v"))).alias(name) for name, q in quantiles]
+    bins = b.groupBy(*keys, "__bin").agg(*sums)
+    for i in range(len(many)):
+        bins = bins.withColumn(f"before{i}", F.sum(f"w{i}").over(w.orderBy("__bin")) - F.col(f"w{i}")).withColumn(f"n{i}", F.sum(f"w{i}").over(w))
+    rank = {(i, q): F.floor(F.lit(q) * (F.col(f"n{i}") - 1)) for i in range(len(many)) for _, q in quantiles}
+    holds = [(F.col(f"before{i}") <= r) & (r < F.col(f"before{i}") + F.col(f"w{i}")) for (i, _), r in rank.items()]
+    wanted = bins.where(reduce(lambda p, q: p | q, holds)).drop(*[f"w{i}" for i in range(len(many))])
+    wanted = bounded_broadcast(materialize(wanted, "bins"))
+    c = b.join(wanted.select(*keys, "__bin"), [*keys, "__bin"]).groupBy(*keys, "__bin", "v").agg(*sums).join(wanted, [*keys, "__bin"])
+    inner = Window.partitionBy(*keys, "__bin").orderBy("v")
+    for i in range(len(many)):
+        c = c.withColumn(f"upto{i}", F.col(f"before{i}") + F.sum(f"w{i}").over(inner))
+    take = [F.min(F.when((F.col(f"w{i}") > 0) & (F.col(f"upto{i}") > rank[i, q]), F.col("v"))).alias(names[i][k]) for i in range(len(many)) for k, (_, q) in enumerate(quantiles)]
     return c.groupBy(*keys).agg(*take)
 
 
@@ -61,12 +86,7 @@ def look_ahead_statistics(df: DataFrame, key: str, field: str, steps: int, quant
     p = p.withColumn("m", F.sum(F.col("w") * F.col("mean")).over(Window.partitionBy(*k)) / F.sum("w").over(Window.partitionBy(*k)))
     square = F.sum(F.col("w") * (F.pow("std", F.lit(2)) + F.pow(F.col("mean") - F.col("m"), F.lit(2))))
     s = p.groupBy(*k).agg(F.sum("w").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("m").alias("mean"), F.when(F.sum("w") > 1, F.sqrt(square / (F.sum("w") - 1))).alias("std"))
-    # order statistics: running weights of all steps in one sort
-    sums = [F.sum(weight(F.lit(i))).cast("long").alias(f"w{i}") for i in range(steps)]
-    c = x.groupBy(key, "dim", "v").agg(*sums)
-    w = Window.partitionBy(key, "dim")
-    c = c.select(key, "dim", "v", *[F.struct(F.col(f"w{i}").alias("w"), F.sum(f"w{i}").over(w.orderBy("v")).alias("upto"), F.sum(f"w{i}").over(w).alias("n")).alias(f"s{i}") for i in range(steps)])
-    take = [F.min(F.when((F.col(f"s{i}.w") > 0) & (F.col(f"s{i}.upto") > F.floor(F.lit(q) * (F.col(f"s{i}.n") - 1))), F.col("v"))).alias(f"{name}_{i}") for i in range(steps) for name, q in quantiles]
+    c = order_statistics(x, [key, "dim"], quantiles, [weight(F.lit(i)) for i in range(steps)])
     rows = [F.struct(F.lit(i).cast("long").alias("step"), *[F.col(f"{name}_{i}").alias(name) for name, _ in quantiles]) for i in range(steps)]
-    q = c.groupBy(key, "dim").agg(*take).select(key, "dim", F.explode(F.array(*rows)).alias("z")).select(key, "dim", "z.*")
+    q = c.select(key, "dim", F.explode(F.array(*rows)).alias("z")).select(key, "dim", "z.*")
     return s.join(q, k)

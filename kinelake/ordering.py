@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinelake.session import materialize
+from kinelake.skew import bounded_broadcast
 
 
 def previous_in_group(df: DataFrame, group: str, order: list[str], value: str) -> DataFrame:
@@ -61,3 +62,35 @@ def previous_in_group(df: DataFrame, group: str, order: list[str], value: str) -
     j = linked.join(F.broadcast(nexts), ["__pid", "__first"], "left")
     closed = F.coalesce("previous", F.when(F.col("lg") == F.col(group), F.col("lv")))
     return j.select(*cols, closed.alias("previous"))
+
+
+def position_in_group(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """Adds ``name``: the place of each row, from 0, in the ``order`` of its group; no task holds a whole group.
+
+    Rows are cut into ranges of group and order; each range numbers its own rows, and the few counts by range and group give the offsets. Null groups
+    are a group. ``order`` must tell the rows of a group apart, or ties are numbered in any order.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = materialize(df.repartitionByRange(n, *group, *order).withColumn("__pid", F.spark_partition_id()), "ranges")
+    own = F.row_number().over(Window.partitionBy("__pid", *group).orderBy(*order)) - 1
+    counts = x.groupBy("__pid", *group).agg(F.count(F.lit(1)).alias("__n"))
+    before = counts.withColumn("__before", F.sum("__n").over(Window.partitionBy(*(group or [F.lit(0)])).orderBy("__pid")) - F.col("__n"))
+    before = bounded_broadcast(before.select(F.col("__pid").alias("__p"), *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__before"))
+    same = F.col("__pid") == F.col("__p")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    return x.withColumn("__own", own).join(before, same).select(*df.columns, (F.col("__own") + F.col("__before")).cast("long").alias(name))
+
+
+def spread(df: DataFrame, count: str, name: str, piece: int = 65_536) -> DataFrame:
+    """Each row ``count`` times, with ``name`` from 0 on; made in pieces over all tasks, so no row holds a long array."""
+    p = df.where(F.col(count) > 0).withColumn("__b", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(`{count}` - 1) div {piece}")))).repartition("__b", *df.columns)
+    last = F.least((F.col("__b") + 1) * piece, F.col(count)) - 1
+    return p.withColumn(name, F.explode(F.sequence(F.col("__b") * piece, last))).drop("__b")
+
+
+def with_previous(df: DataFrame, group: str, order: str, value: str) -> DataFrame:
+    """Adds ``previous``: the ``value``, of any type, of the row before in the order of its group, by a join on group and place."""
+    x = materialize(position_in_group(df, [group], [order], "__at"), "places")
+    y = x.select(F.col(group).alias("__g"), (F.col("__at") + 1).alias("__next"), F.col(value).alias("previous"))
+    return x.join(y, x["__at"].eqNullSafe(y["__next"]) & x[group].eqNullSafe(y["__g"]), "left").select(*df.columns, "previous")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from kinelake.functions import vectors as V
 from kinelake.operators import statistics as st
 from kinelake.operators.windows import clamped_chunk, clamped_shift, in_episode
-from kinelake.plans.base import R6, SQL_E, SQL_F, SQL_G, SQL_T, episodes, frames, r6, ranked_frames, typed_episodes
+from kinelake.ordering import position_in_group, spread
+from kinelake.plans.base import R6, RF, SQL_D, SQL_E, SQL_F, SQL_G, SQL_T, by_dimension, episodes, frames, r6, ranked_frames, rf, typed_episodes
 from kinelake.plans.registry import query
 from kinelake.tables import table
 
@@ -52,26 +53,13 @@ def j4(spark: S, d: str) -> DataFrame:
     return f.join(e, "b").where("global_index >= dataset_from_index and global_index < dataset_to_index").select("global_index", "episode_index")
 
 
-@query("j5_locate_sample", f"""WITH {SQL_E}, c AS (SELECT dataset_dir, sum(length) AS n FROM e GROUP BY dataset_dir), o AS (SELECT dataset_dir, sum(n) OVER (ORDER BY dataset_dir) - n AS start, n FROM c)
-SELECT o.dataset_dir, k.i AS sample, CAST(k.i - o.start AS BIGINT) AS local FROM range(0, 100000000, 97) k(i) JOIN o ON k.i >= o.start AND k.i < o.start + o.n""")
+@query("j5_locate_sample", f"""WITH {SQL_E}, c AS (SELECT dataset_dir, CAST(sum(length) AS BIGINT) AS n FROM e GROUP BY dataset_dir), o AS (SELECT dataset_dir, CAST(sum(n) OVER (ORDER BY dataset_dir) - n AS BIGINT) AS start, n FROM c)
+SELECT dataset_dir, start + i AS sample, i AS local FROM o, LATERAL (SELECT unnest(range(n)) AS i)""")
 def j5(spark: S, d: str) -> DataFrame:
-    """Global sample numbers to dataset and local number, every 97th only, as in its SQL; ``j5_locate_all_samples`` has all."""
+    """Every global sample number to dataset and local number, generated from each dataset's own range in pieces; the window runs over one row per dataset."""
     c = episodes(spark, d).groupBy("dataset_dir").agg(F.sum("length").alias("n"))
     o = c.withColumn("start", F.sum("n").over(Window.orderBy("dataset_dir")) - F.col("n"))
-    first, last = F.ceil(F.col("start") / 97).cast("long"), F.expr("(start + n - 1) div 97")
-    x = o.where(first <= last).select("dataset_dir", "start", F.explode(F.sequence(first, last)).alias("k"))
-    return x.select("dataset_dir", (F.col("k") * 97).alias("sample"), (F.col("k") * 97 - F.col("start")).alias("local"))
-
-
-@query("j5_locate_all_samples")
-def j5_all(spark: S, d: str) -> DataFrame:
-    """Every global sample number to dataset and local number, generated from each dataset's own range in pieces."""
-    piece = 65_536
-    c = episodes(spark, d).groupBy("dataset_dir").agg(F.sum("length").alias("n"))
-    o = c.withColumn("start", F.sum("n").over(Window.orderBy("dataset_dir")) - F.col("n")).where("n > 0")
-    p = o.select("dataset_dir", "start", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {piece}"))).alias("b")).repartition("dataset_dir", "b")
-    x = p.select("dataset_dir", "start", F.explode(F.sequence(F.col("b") * piece, F.least((F.col("b") + 1) * piece, F.col("n")) - 1)).alias("local"))
-    return x.select("dataset_dir", (F.col("start") + F.col("local")).alias("sample"), "local")
+    return spread(o, "n", "local").select("dataset_dir", (F.col("start") + F.col("local")).alias("sample"), "local")
 
 
 @query("j7_nearest_asof", """WITH a AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'), b AS (SELECT event_id AS other, user_id, ts AS at FROM events WHERE event_type = 'click'),
@@ -80,12 +68,12 @@ SELECT event_id, other FROM n WHERE k = 1""")
 def j7(spark: S, d: str) -> DataFrame:
     """The click nearest in time to each purchase of the same user, within a day; the later one wins a tie.
 
-    Both streams are merged and sorted once by user and time: the nearest click is the last one before or the first one after.
+    Both streams are merged and sorted by user and time, once each way, so both frames grow by a row at a time: the nearest click is the last one before or the first one after.
     """
     e = table(spark, d, "events").where("event_type in ('purchase', 'click')").select("event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
     click = F.when(F.col("event_type") == "click", F.struct("us", "event_id"))
     back = Window.partitionBy("user_id").orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy("user_id").orderBy("us").rangeBetween(0, Window.unboundedFollowing)
+    ahead = Window.partitionBy("user_id").orderBy(F.desc("us")).rangeBetween(Window.unboundedPreceding, 0)
     # among clicks of one time the smallest id counts
     key_b = F.when(F.col("event_type") == "click", F.struct("us", (-F.col("event_id")).alias("neg")))
     x = e.withColumn("b", F.max(key_b).over(back)).withColumn("a", F.min(click).over(ahead)).where("event_type = 'purchase'")
@@ -149,79 +137,57 @@ def j12(spark: S, d: str) -> DataFrame:
 
 _L = "x AS (SELECT {k}, 'action' AS field, generate_subscripts(action, 1) - 1 AS dim, CAST(unnest(action) AS DOUBLE) AS v FROM {t} UNION ALL SELECT {k}, 'state', generate_subscripts(state, 1) - 1, CAST(unnest(state) AS DOUBLE) FROM {t})"
 _LX = f"{SQL_F}, {_L.format(k='episode_index', t='f')}, y AS (SELECT * FROM x WHERE v IS NOT NULL AND isfinite(v))"
-_ROBUST = "abs(v) < 10"
 
 
-@query("a1_episode_stats", f"WITH {_LX} SELECT episode_index, field, CAST(dim AS BIGINT) AS dim, count(*) AS n, {r6('min(v)')} AS lo, {r6('max(v)')} AS hi, {r6('avg(v)')} AS mean, {r6('stddev_pop(v)')} AS std FROM y WHERE {_ROBUST} GROUP BY ALL")
+@query("a1_episode_stats", f"WITH {_LX} SELECT episode_index, field, CAST(dim AS BIGINT) AS dim, count(*) AS n, {rf('min(v)')} AS lo, {rf('max(v)')} AS hi, {rf('avg(v)')} AS mean, {rf('stddev_pop(v)')} AS std FROM y GROUP BY ALL")
 def a1(spark: S, d: str) -> DataFrame:
-    """Extremes, mean, deviation and count of each dimension by episode; absurd sizes (10 and more) are left out, as in its SQL; ``a1_whole_episode_stats`` has them."""
-    x = st.long_form(frames(spark, d, "action", "state"), ["episode_index"]).where(_ROBUST)
-    s = st.summarize(x, ["episode_index", "field", "dim"])
-    return s.select("episode_index", "field", "dim", "n", *[R6(F.col(c)).alias(c) for c in ("lo", "hi", "mean", "std")])
-
-
-@query("a1_whole_episode_stats")
-def a1_whole(spark: S, d: str) -> DataFrame:
-    """Extremes, mean, deviation and count of each dimension by episode, of all finite readings whatever their size."""
+    """Extremes, mean, deviation and count of each dimension by episode, of all finite readings."""
     s = st.summarize(st.long_form(frames(spark, d, "action", "state"), ["episode_index"]), ["episode_index", "field", "dim"])
-    return s.select("episode_index", "field", "dim", "n", *[R6(F.col(c)).alias(c) for c in ("lo", "hi", "mean", "std")])
+    return s.select("episode_index", "field", "dim", "n", *[RF(F.col(c)).alias(c) for c in ("lo", "hi", "mean", "std")])
 
 
-@query("a2_merged_partials", f"""WITH {_LX}, p AS (SELECT episode_index, field, dim, count(*) AS n, avg(v) AS mean, stddev_pop(v) AS std FROM y WHERE {_ROBUST} GROUP BY ALL), {SQL_T},
+@query("a2_merged_partials", f"""WITH {_LX}, p AS (SELECT episode_index, field, dim, count(*) AS n, avg(v) AS mean, stddev_pop(v) AS std FROM y GROUP BY ALL), {SQL_T},
 q AS (SELECT embodiment_type, field, dim, p.n, p.mean, p.std, sum(p.n * p.mean) OVER w / sum(p.n) OVER w AS m FROM p JOIN t USING (episode_index) WINDOW w AS (PARTITION BY embodiment_type, field, dim))
-SELECT embodiment_type, field, CAST(dim AS BIGINT) AS dim, CAST(sum(n) AS BIGINT) AS n, {r6('any_value(m)')} AS mean, {r6('sqrt(sum(n * (std * std + (mean - m) * (mean - m))) / sum(n))')} AS std FROM q GROUP BY embodiment_type, field, dim""")
+SELECT embodiment_type, field, CAST(dim AS BIGINT) AS dim, CAST(sum(n) AS BIGINT) AS n, {rf('any_value(m)')} AS mean, {rf('sqrt(sum(n * (std * std + (mean - m) * (mean - m))) / sum(n))')} AS std FROM q GROUP BY embodiment_type, field, dim""")
 def a2(spark: S, d: str) -> DataFrame:
     """Episode statistics merged by count into those of each type, without going back to the readings."""
-    p = st.summarize(st.long_form(frames(spark, d, "action", "state"), ["episode_index"]).where(_ROBUST), ["episode_index", "field", "dim"])
+    p = st.summarize(st.long_form(frames(spark, d, "action", "state"), ["episode_index"]), ["episode_index", "field", "dim"])
     m, s = st.merged()
-    g = p.join(typed_episodes(spark, d), "episode_index").groupBy("embodiment_type", "field", "dim").agg(F.sum("n").alias("n"), R6(m).alias("mean"), R6(s).alias("std"))
-    return g
+    return p.join(typed_episodes(spark, d), "episode_index").groupBy("embodiment_type", "field", "dim").agg(F.sum("n").alias("n"), RF(m).alias("mean"), RF(s).alias("std"))
 
 
-@query("a3_episode_quantiles", f"""WITH {_LX}, {SQL_T}, p AS (SELECT episode_index, field, dim, quantile_cont(v, 0.01) AS q01, quantile_cont(v, 0.99) AS q99, stddev_samp(v) AS std, avg(v) AS mean FROM y WHERE {_ROBUST} GROUP BY ALL)
-SELECT embodiment_type, field, CAST(dim AS BIGINT) AS dim, {r6('min(q01)')} AS q01, {r6('max(q99)')} AS q99, {r6('avg(mean)')} AS mean FROM p JOIN t USING (episode_index) GROUP BY embodiment_type, field, dim""")
+@query("a3_episode_quantiles", f"""WITH {_LX}, {SQL_T}, p AS (SELECT episode_index, field, dim, quantile_cont(v, 0.01) AS q01, quantile_cont(v, 0.99) AS q99, stddev_samp(v) AS std, avg(v) AS mean FROM y GROUP BY ALL)
+SELECT embodiment_type, field, CAST(dim AS BIGINT) AS dim, {rf('min(q01)')} AS q01, {rf('max(q99)')} AS q99, {rf('avg(mean)')} AS mean FROM p JOIN t USING (episode_index) GROUP BY embodiment_type, field, dim""")
 def a3(spark: S, d: str) -> DataFrame:
     """Interpolated quantiles of each episode and their extremes by type; every episode counts the same."""
-    x = st.long_form(frames(spark, d, "action", "state"), ["episode_index"]).where(_ROBUST)
+    x = st.long_form(frames(spark, d, "action", "state"), ["episode_index"])
     p = x.groupBy("episode_index", "field", "dim").agg(F.percentile("v", F.array(F.lit(0.01), F.lit(0.99))).alias("q"), F.avg("v").alias("mean"))
     p = p.join(typed_episodes(spark, d), "episode_index")
-    return p.groupBy("embodiment_type", "field", "dim").agg(R6(F.min(F.get("q", F.lit(0)))).alias("q01"), R6(F.max(F.get("q", F.lit(1)))).alias("q99"), R6(F.avg("mean")).alias("mean"))
+    return p.groupBy("embodiment_type", "field", "dim").agg(RF(F.min(F.get("q", F.lit(0)))).alias("q01"), RF(F.max(F.get("q", F.lit(1)))).alias("q99"), RF(F.avg("mean")).alias("mean"))
 
 
-_CH = f"{SQL_G}, h AS (SELECT a.episode_index, a.global_index, s.step, CAST(b.action[1] AS DOUBLE) AS v, a.rn + s.step >= a.n AS pad FROM g a CROSS JOIN range(8) s(step) JOIN g b ON b.episode_index = a.episode_index AND b.rn = least(a.rn + s.step, a.n - 1))"
+_CH = f"{SQL_G}, h AS (SELECT a.episode_index, a.global_index, s.step, generate_subscripts(b.action, 1) - 1 AS dim, CAST(unnest(b.action) AS DOUBLE) AS v, a.rn + s.step >= a.n AS pad FROM g a CROSS JOIN range(8) s(step) JOIN g b ON b.episode_index = a.episode_index AND b.rn = least(a.rn + s.step, a.n - 1))"
 
 
-@query("a5_stepwise_stats", f"""WITH {_CH}, {SQL_T}, z AS (SELECT embodiment_type, step, v, row_number() OVER (PARTITION BY embodiment_type, step ORDER BY v) AS k, count(*) OVER (PARTITION BY embodiment_type, step) AS n FROM h JOIN t USING (episode_index) WHERE v IS NOT NULL AND isfinite(v) AND abs(v) < 10)
-SELECT embodiment_type, step, any_value(n) AS n, {r6('min(v)')} AS lo, {r6('max(v)')} AS hi, {r6('avg(v)')} AS mean, {r6('stddev_samp(v)')} AS std,
-{r6('max(CASE WHEN k = floor(0.01 * (n - 1)) + 1 THEN v END)')} AS q01, {r6('max(CASE WHEN k = floor(0.99 * (n - 1)) + 1 THEN v END)')} AS q99 FROM z GROUP BY embodiment_type, step""")
+@query("a5_stepwise_stats", f"""WITH {_CH}, {SQL_T}, z AS (SELECT embodiment_type, step, dim, v, row_number() OVER (PARTITION BY embodiment_type, step, dim ORDER BY v) AS k, count(*) OVER (PARTITION BY embodiment_type, step, dim) AS n FROM h JOIN t USING (episode_index) WHERE v IS NOT NULL AND isfinite(v))
+SELECT embodiment_type, step, CAST(dim AS BIGINT) AS dim, any_value(n) AS n, {rf('min(v)')} AS lo, {rf('max(v)')} AS hi, {rf('avg(v)')} AS mean, {rf('stddev_samp(v)')} AS std,
+{rf('max(CASE WHEN k = floor(0.01 * (n - 1)) + 1 THEN v END)')} AS q01, {rf('max(CASE WHEN k = floor(0.99 * (n - 1)) + 1 THEN v END)')} AS q99 FROM z GROUP BY embodiment_type, step, dim""")
 def a5(spark: S, d: str) -> DataFrame:
-    """Statistics of a clamped look-ahead chunk by step, of the first dimension only, as in its SQL; ``a5_whole_stepwise_stats`` has all."""
-    g = ranked_frames(spark, d, "action").withColumn("v", F.get("action", F.lit(0)).cast("double"))
-    x = clamped_chunk(g.drop("action"), ["v"], 0, 7).select("episode_index", F.explode("chunk").alias("c")).select("episode_index", F.col("c.step").cast("long").alias("step"), "c.v")
-    x = x.join(typed_episodes(spark, d), "episode_index").where(finite(F.col("v")) & (F.abs("v") < 10))
-    k = ["embodiment_type", "step"]
-    s = x.groupBy(*k).agg(F.count("v").alias("n"), R6(F.min("v")).alias("lo"), R6(F.max("v")).alias("hi"), R6(F.avg("v")).alias("mean"), R6(F.stddev_samp("v")).alias("std"))
-    q = st.order_statistics(x, k, [("q01", 0.01), ("q99", 0.99)])
-    return s.join(q, k).select(*k, "n", "lo", "hi", "mean", "std", R6(F.col("q01")).alias("q01"), R6(F.col("q99")).alias("q99"))
-
-
-@query("a5_whole_stepwise_stats")
-def a5_whole(spark: S, d: str) -> DataFrame:
     """Statistics of a clamped look-ahead chunk by step and dimension, of all finite readings."""
     g = ranked_frames(spark, d, "action").join(typed_episodes(spark, d), "episode_index")
     s = st.look_ahead_statistics(g, "embodiment_type", "action", 8, [("q01", 0.01), ("q99", 0.99)])
-    return s.select("embodiment_type", "step", "dim", "n", *[R6(F.col(c)).alias(c) for c in ("lo", "hi", "mean", "std", "q01", "q99")])
+    return s.select("embodiment_type", "step", "dim", "n", *[RF(F.col(c)).alias(c) for c in ("lo", "hi", "mean", "std", "q01", "q99")])
 
 
-@query("a6_state_stats", f"""WITH {_LX}, {SQL_T}, z AS (SELECT embodiment_type, dim, v, row_number() OVER (PARTITION BY embodiment_type, dim ORDER BY v) AS k, count(*) OVER (PARTITION BY embodiment_type, dim) AS n FROM y JOIN t USING (episode_index) WHERE field = 'state' AND {_ROBUST})
-SELECT embodiment_type, CAST(dim AS BIGINT) AS dim, any_value(n) AS n, {r6('avg(v)')} AS mean, {r6('stddev_samp(v)')} AS std, {r6('max(CASE WHEN k = floor(0.001 * (n - 1)) + 1 THEN v END)')} AS q001, {r6('max(CASE WHEN k = floor(0.999 * (n - 1)) + 1 THEN v END)')} AS q999 FROM z GROUP BY embodiment_type, dim""")
+@query("a6_state_stats", f"""WITH {_LX}, {SQL_T}, z AS (SELECT embodiment_type, dim, v, row_number() OVER (PARTITION BY embodiment_type, dim ORDER BY v) AS k, count(*) OVER (PARTITION BY embodiment_type, dim) AS n FROM y JOIN t USING (episode_index) WHERE field = 'state')
+SELECT embodiment_type, CAST(dim AS BIGINT) AS dim, any_value(n) AS n, {rf('avg(v)')} AS mean, {rf('stddev_samp(v)')} AS std, {rf('max(CASE WHEN k = floor(0.001 * (n - 1)) + 1 THEN v END)')} AS q001, {rf('max(CASE WHEN k = floor(0.999 * (n - 1)) + 1 THEN v END)')} AS q999 FROM z GROUP BY embodiment_type, dim""")
 def a6(spark: S, d: str) -> DataFrame:
     """Statistics of the state by type and dimension, with exact order statistics."""
-    x = st.long_form(frames(spark, d, "state"), ["episode_index"], ("state",)).where(_ROBUST).join(typed_episodes(spark, d), "episode_index")
+    x = st.long_form(frames(spark, d, "state"), ["episode_index"], ("state",)).join(typed_episodes(spark, d), "episode_index")
     k = ["embodiment_type", "dim"]
-    s = x.groupBy(*k).agg(F.count("v").alias("n"), R6(F.avg("v")).alias("mean"), R6(F.stddev_samp("v")).alias("std"))
+    s = x.groupBy(*k).agg(F.count("v").alias("n"), RF(F.avg("v")).alias("mean"), RF(F.stddev_samp("v")).alias("std"))
     q = st.order_statistics(x, k, [("q001", 0.001), ("q999", 0.999)])
-    return s.join(q, k).select(*k, "n", "mean", "std", R6(F.col("q001")).alias("q001"), R6(F.col("q999")).alias("q999"))
+    return s.join(q, k).select(*k, "n", "mean", "std", RF(F.col("q001")).alias("q001"), RF(F.col("q999")).alias("q999"))
 
 
 @query("a9_order_statistics", "SELECT event_type, " + ", ".join(f"max(CASE WHEN k = floor({q} * (n - 1)) + 1 THEN value END) AS {c}" for c, q in (("q01", 0.01), ("q50", 0.5), ("q99", 0.99))) + " FROM (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) AS k, count(*) OVER (PARTITION BY event_type) AS n FROM events WHERE value IS NOT NULL) GROUP BY event_type")
@@ -251,11 +217,11 @@ def a12(spark: S, d: str) -> DataFrame:
     return table(spark, d, "episodes").select("dataset_dir").distinct().join(table(spark, d, "stats").select("dataset_dir"), "dataset_dir", "left_anti")
 
 
-@query("a13_initial_state", f"WITH {SQL_G}, {SQL_T}, x AS (SELECT embodiment_type, generate_subscripts(state, 1) - 1 AS dim, CAST(unnest(state) AS DOUBLE) AS v FROM g JOIN t USING (episode_index) WHERE rn = 0 AND state IS NOT NULL) SELECT embodiment_type, CAST(dim AS BIGINT) AS dim, {r6('avg(v)')} AS mean FROM x WHERE isfinite(v) AND abs(v) < 10 GROUP BY ALL")
+@query("a13_initial_state", f"WITH {SQL_G}, {SQL_T}, x AS (SELECT embodiment_type, generate_subscripts(state, 1) - 1 AS dim, CAST(unnest(state) AS DOUBLE) AS v FROM g JOIN t USING (episode_index) WHERE rn = 0 AND state IS NOT NULL) SELECT embodiment_type, CAST(dim AS BIGINT) AS dim, {rf('avg(v)')} AS mean FROM x WHERE isfinite(v) GROUP BY ALL")
 def a13(spark: S, d: str) -> DataFrame:
     """Mean of the first frame's state over episodes."""
     x = ranked_frames(spark, d, "state").where("rn = 0").join(typed_episodes(spark, d), "episode_index")
-    return st.long_form(x, ["embodiment_type"], ("state",)).where(_ROBUST).groupBy("embodiment_type", "dim").agg(R6(F.avg("v")).alias("mean"))
+    return st.long_form(x, ["embodiment_type"], ("state",)).groupBy("embodiment_type", "dim").agg(RF(F.avg("v")).alias("mean"))
 
 
 @query("a14_sample_indices", f"""WITH {SQL_E}, c AS (SELECT dataset_dir, CAST(sum(length) AS BIGINT) AS n FROM e GROUP BY dataset_dir), m AS (SELECT *, greatest(least(100, n), least(CAST(floor(pow(n, 0.75)) AS BIGINT), 10000)) AS k FROM c)
@@ -310,12 +276,18 @@ def w3(spark: S, d: str) -> DataFrame:
     return x.select("global_index", check.alias("checksum"), F.size(F.filter("chunk", lambda c: c["is_pad"])).cast("long").alias("pads"))
 
 
-@query("w4_forward_window", f"WITH {_CH} SELECT global_index, count(*) FILTER (WHERE pad) AS repeated, {r6('sum(v)')} AS total FROM h WHERE v IS NOT NULL AND isfinite(v) AND abs(v) < 10 GROUP BY global_index")
+@query("w4_forward_window", f"WITH {_CH} SELECT global_index, CAST(dim AS BIGINT) AS dim, count(*) FILTER (WHERE pad) AS repeated, {rf('sum(v)')} AS total FROM h WHERE v IS NOT NULL AND isfinite(v) GROUP BY global_index, dim")
 def w4(spark: S, d: str) -> DataFrame:
-    """A forward window of eight frames whose last row is repeated at the end of the episode."""
-    g = ranked_frames(spark, d, "action").withColumn("v", F.get("action", F.lit(0)).cast("double"))
-    x = clamped_chunk(g.drop("action"), ["v"], 0, 7).select("global_index", F.filter("chunk", lambda c: finite(c["v"]) & (F.abs(c["v"]) < 10)).alias("c")).where("size(c) > 0")
-    return x.select("global_index", F.size(F.filter("c", lambda c: c["is_pad"])).cast("long").alias("repeated"), R6(F.aggregate("c", F.lit(0.0), lambda a, c: a + c["v"])).alias("total"))
+    """A forward window of eight frames in every dimension, whose last row is repeated at the end of the episode."""
+    x = clamped_chunk(ranked_frames(spark, d, "action"), ["action"], 0, 7)
+    width = F.array_max(F.transform("chunk", lambda c: F.size(F.coalesce(c["action"], F.array().cast("array<float>")))))
+
+    def per_dim(i):
+        own = F.filter(F.transform("chunk", lambda c: F.struct(F.get(c["action"], i).cast("double").alias("v"), c["is_pad"].alias("pad"))), lambda c: finite(c["v"]))
+        return F.struct(i.cast("long").alias("dim"), F.size(own).alias("k"), F.size(F.filter(own, lambda c: c["pad"])).cast("long").alias("repeated"), F.aggregate(own, F.lit(0.0), lambda a, c: a + c["v"]).alias("total"))
+
+    z = x.where(width > 0).select("global_index", F.explode(F.transform(F.sequence(F.lit(0), width - 1), per_dim)).alias("z")).where("z.k > 0")
+    return z.select("global_index", "z.dim", "z.repeated", RF(F.col("z.total")).alias("total"))
 
 
 @query("w5_clamped_shift", f"WITH {SQL_G} SELECT a.global_index, b.task_index AS later, c.coarse_task_index AS earlier FROM g a JOIN g b ON b.episode_index = a.episode_index AND b.rn = least(a.rn + 3, a.n - 1) JOIN g c ON c.episode_index = a.episode_index AND c.rn = greatest(a.rn - 2, 0)")
@@ -370,16 +342,16 @@ def w12(spark: S, d: str) -> DataFrame:
     return frames(spark, d, "task_index").select("global_index", F.lag("task_index", 1).over(in_episode()).alias("previous"), F.lead("task_index", 2).over(in_episode()).alias("ahead"))
 
 
-@query("w13_delta_roundtrip", f"""WITH {SQL_F}, x AS (SELECT global_index, episode_index, frame_index, CAST(action[1] AS DOUBLE) AS v FROM f WHERE action IS NOT NULL AND isfinite(action[1]) AND abs(action[1]) < 10),
-y AS (SELECT *, v - coalesce(lag(v) OVER (PARTITION BY episode_index ORDER BY frame_index), 0) AS delta FROM x)
-SELECT global_index, {r6('delta')} AS delta, {r6('v')} AS back FROM y""")
+@query("w13_delta_roundtrip", f"""WITH {SQL_G}, {SQL_D.format('action')}, x AS (SELECT global_index, episode_index, frame_index, dim, v FROM d WHERE v IS NOT NULL),
+y AS (SELECT *, v - coalesce(lag(v) OVER (PARTITION BY episode_index, dim ORDER BY frame_index), 0) AS delta FROM x)
+SELECT global_index, dim, {rf('delta')} AS delta, {rf('v')} AS back FROM y""")
 def w13(spark: S, d: str) -> DataFrame:
-    """First differences, and the running sum that undoes them."""
-    v = F.get("action", F.lit(0)).cast("double")
-    x = frames(spark, d, "action").where(finite(v) & (F.abs(v) < 10)).withColumn("v", v)
-    y = x.withColumn("delta", F.col("v") - F.coalesce(F.lag("v").over(in_episode()), F.lit(0.0)))
-    back = F.sum("delta").over(in_episode().rowsBetween(Window.unboundedPreceding, 0))
-    return y.select("global_index", R6(F.col("delta")).alias("delta"), R6(back).alias("back"))
+    """First differences of every dimension, and the running sum that undoes them; in decimals, so huge readings leave nothing behind."""
+    x = by_dimension(frames(spark, d, "action"), "action").where("v is not null").withColumn("v", F.col("v").try_cast("decimal(38,12)"))
+    w = Window.partitionBy("episode_index", "dim").orderBy("frame_index")
+    y = x.withColumn("delta", (F.col("v") - F.coalesce(F.lag("v").over(w), F.lit(0).cast("decimal(38,12)"))).cast("decimal(38,12)"))
+    back = F.sum("delta").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return y.select("global_index", "dim", RF(F.col("delta").cast("double")).alias("delta"), RF(back.cast("double")).alias("back"))
 
 
 @query("w14_run_validity", f"""WITH {SQL_F}, b AS (SELECT episode_index, frame_index, task_index, CASE WHEN task_index = lag(task_index) OVER w THEN 0 ELSE 1 END AS new FROM f WINDOW w AS (PARTITION BY episode_index ORDER BY frame_index)),
@@ -401,15 +373,14 @@ def w16(spark: S, d: str) -> DataFrame:
     return frames(spark, d, "quality_index").select("global_index", F.coalesce(F.last("quality_index", ignorenulls=True).over(w), F.lit(0).cast("long")).alias("quality"))
 
 
-@query("w17_rate_chunk", f"""WITH {SQL_F}, {SQL_E}, x AS (SELECT f.global_index, f.episode_index, f.frame_index, e.embodiment, CAST(state[1] AS DOUBLE) AS v FROM f JOIN e USING (episode_index) WHERE state IS NOT NULL AND isfinite(state[1]) AND abs(state[1]) < 10)
-SELECT global_index, {r6('(v - coalesce(lag(v) OVER (PARTITION BY episode_index ORDER BY frame_index), v)) * m.fps')} AS rate FROM x JOIN mixture m USING (embodiment)""")
+@query("w17_rate_chunk", f"""WITH {SQL_G}, {SQL_E}, {SQL_D.format('state')}, x AS (SELECT d.global_index, d.episode_index, d.frame_index, d.dim, e.embodiment, v FROM d JOIN e USING (episode_index) WHERE v IS NOT NULL)
+SELECT global_index, dim, {rf('(v - coalesce(lag(v) OVER (PARTITION BY episode_index, dim ORDER BY frame_index), v)) * m.fps')} AS rate FROM x JOIN mixture m USING (embodiment)""")
 def w17(spark: S, d: str) -> DataFrame:
-    """Positions to velocities: first differences, seeded by the first position, over the frame interval."""
+    """Positions to velocities in every dimension: first differences, seeded by the first position, over the frame interval."""
     m = F.broadcast(table(spark, d, "mixture").select("embodiment", "fps"))
-    v = F.get("state", F.lit(0)).cast("double")
-    x = frames(spark, d, "state").where(finite(v) & (F.abs(v) < 10)).withColumn("v", v)
-    x = x.withColumn("diff", F.col("v") - F.coalesce(F.lag("v").over(in_episode()), F.col("v")))
-    return x.join(episodes(spark, d).select("episode_index", "embodiment"), "episode_index").join(m, "embodiment").select("global_index", R6(F.col("diff") * F.col("fps")).alias("rate"))
+    x = by_dimension(frames(spark, d, "state"), "state").where("v is not null")
+    x = x.withColumn("diff", F.col("v") - F.coalesce(F.lag("v").over(Window.partitionBy("episode_index", "dim").orderBy("frame_index")), F.col("v")))
+    return x.join(episodes(spark, d).select("episode_index", "embodiment"), "episode_index").join(m, "embodiment").select("global_index", "dim", RF(F.col("diff") * F.col("fps")).alias("rate"))
 
 
 # sampling and sharding
@@ -457,23 +428,24 @@ def _effective(spark: S, d: str) -> DataFrame:
 
 
 @query("o4_golden_sampling", f"""WITH {_O4}, s AS (SELECT *, greatest(1, CAST(floor(n * 0.61803398875) AS BIGINT)) AS s0 FROM w),
-g AS (SELECT embodiment, n, eff, (SELECT min(k) FROM range(s0, s0 + 64) r(k) WHERE gcd(k, n) = 1) AS stride FROM s)
+g AS (SELECT embodiment, n, eff, (SELECT min(k) FROM range(s0, s0 + 132) r(k) WHERE gcd(k, n) = 1) AS stride FROM s)
 SELECT embodiment, i AS draw, CASE WHEN eff >= n THEN i % n ELSE (i * stride + 3 * 1000003) % n END AS local FROM g, LATERAL (SELECT unnest(range(eff)) AS i)""")
 def o4(spark: S, d: str) -> DataFrame:
     """Deterministic weighted sampling: a stride near the golden section, coprime to the length, visits a source evenly.
 
-    The stride is found in SQL: the first of the following numbers whose greatest common divisor with the length is 1.
+    The stride is found in SQL: the first of the following numbers whose greatest common divisor with the length is 1. Of 132 successive numbers
+    one is coprime to any length of up to 64 bits: a length without one would need 18 prime factors. Draws are made in pieces, so a source of any size is spread over tasks.
     """
     e = _effective(spark, d).withColumn("s0", F.greatest(F.lit(1), F.floor(F.col("n") * 0.61803398875)))
-    rounds = 64
+    rounds = 96
 
     def gcd(a, b):
         pair = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct(a.alias("a"), b.alias("b")), lambda s, _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), (s["a"] % F.when(s["b"] == 0, 1).otherwise(s["b"])).alias("b"))))
         return pair["a"]
 
-    near = F.filter(F.sequence(F.col("s0"), F.col("s0") + 63), lambda k: gcd(k, F.col("n")) == 1)
+    near = F.filter(F.sequence(F.col("s0"), F.col("s0") + 131), lambda k: gcd(k, F.col("n")) == 1)
     g = e.withColumn("stride", F.get(near, F.lit(0)))
-    x = g.select("embodiment", "n", "eff", "stride", F.explode(F.sequence(F.lit(0).cast("long"), F.col("eff") - 1)).alias("draw"))
+    x = spread(g.select("embodiment", "n", "eff", "stride"), "eff", "draw")
     local = F.when(F.col("eff") >= F.col("n"), F.col("draw") % F.col("n")).otherwise((F.col("draw") * F.col("stride") + 3 * 1000003) % F.col("n"))
     return x.select("embodiment", "draw", local.alias("local"))
 
@@ -481,16 +453,15 @@ def o4(spark: S, d: str) -> DataFrame:
 @query("o6_shard_resume", f"WITH {SQL_E} SELECT episode_index, (k - 1) % 4 AS shard, (k - 1) // 4 AS position FROM (SELECT episode_index, dataset_dir, row_number() OVER (PARTITION BY dataset_dir ORDER BY episode_index) AS k FROM e) WHERE (k - 1) // 4 >= 2")
 def o6(spark: S, d: str) -> DataFrame:
     """Round-robin shards of each dataset, resumed after two batches."""
-    k = F.row_number().over(Window.partitionBy("dataset_dir").orderBy("episode_index")) - 1
-    x = episodes(spark, d).select("episode_index", k.cast("long").alias("k"))
+    x = position_in_group(episodes(spark, d).select("dataset_dir", "episode_index"), ["dataset_dir"], ["episode_index"], "k")
     return x.select("episode_index", (F.col("k") % 4).alias("shard"), F.expr("k div 4").alias("position")).where("position >= 2")
 
 
 @query("o7_grouped_batches", f"WITH {SQL_E}, k AS (SELECT embodiment, episode_index, row_number() OVER (PARTITION BY embodiment ORDER BY (episode_index * 7919 + 13) % 1000003, episode_index) - 1 AS k FROM e) SELECT embodiment, k // 8 AS batch, count(*) AS n, min(episode_index) AS first_episode FROM k GROUP BY ALL")
 def o7(spark: S, d: str) -> DataFrame:
     """Batches that never mix embodiments, in an order shuffled by arithmetic on the index."""
-    w = Window.partitionBy("embodiment").orderBy((F.col("episode_index") * 7919 + 13) % 1000003, "episode_index")
-    k = episodes(spark, d).select("embodiment", "episode_index", (F.row_number().over(w) - 1).cast("long").alias("k"))
+    x = episodes(spark, d).select("embodiment", "episode_index", ((F.col("episode_index") * 7919 + 13) % 1000003).alias("place"))
+    k = position_in_group(x, ["embodiment"], ["place", "episode_index"], "k")
     return k.groupBy("embodiment", F.expr("k div 8").alias("batch")).agg(F.count(F.lit(1)).alias("n"), F.min("episode_index").alias("first_episode"))
 
 

@@ -3,34 +3,31 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinelake.functions import normalize as N
 from kinelake.functions import vectors as V
 from kinelake.functions.sequences import RunCode, repaired
-from kinelake.operators.windows import clamped_chunk
+from kinelake.operators.codebook import lloyd
 from kinelake.plans.analytics import finite
-from kinelake.plans.base import R6, SQL_E, SQL_F, SQL_G, SQL_T, episodes, frames, r6, ranked_frames, typed_episodes
+from kinelake.plans.base import RF, SQL_D, SQL_E, SQL_F, SQL_G, SQL_T, by_dimension, episodes, frames, ranked_frames, rf, typed_episodes
 from kinelake.plans.registry import query
-from kinelake.plans.transforms import _BOX, _LOC, _ST, _loc, boxes, norm_stats, vec
+from kinelake.plans.transforms import _BOX, _LOC, _ST, _loc, boxes, norm_stats
 from kinelake.tables import table
 
 S = SparkSession
 
 
-@query("f18_active_mask", f"""WITH {SQL_G}, x AS (SELECT episode_index, global_index, rn, n, CAST(action[1] AS DOUBLE) AS v FROM g),
-h AS (SELECT a.global_index, max(CASE WHEN isfinite(b.v) AND isfinite(a.v) AND abs(b.v - a.v) >= 0.01 THEN 1 ELSE 0 END) AS m FROM x a CROSS JOIN range(4) s(step) JOIN x b ON b.episode_index = a.episode_index AND b.rn = least(a.rn + s.step, a.n - 1) GROUP BY a.global_index)
-SELECT global_index, m = 1 AS active FROM h""")
+@query("f18_active_mask", f"""WITH {SQL_G}, {SQL_D.format('action')}
+SELECT a.global_index, a.dim, max(CASE WHEN b.v IS NOT NULL AND a.v IS NOT NULL AND abs(b.v - a.v) >= 0.01 THEN 1 ELSE 0 END) = 1 AS active
+FROM d a CROSS JOIN range(4) s(step) JOIN d b ON b.episode_index = a.episode_index AND b.dim = a.dim AND b.rn = least(a.rn + s.step, a.n - 1) GROUP BY a.global_index, a.dim""")
 def f18(spark: S, d: str) -> DataFrame:
-    """Whether a dimension moves in the first half of a chunk of eight, against its first step."""
-    g = ranked_frames(spark, d, "action").withColumn("v", F.get("action", F.lit(0)).cast("double")).drop("action")
-    x = clamped_chunk(g, ["v"], 0, 3)
-    first = F.get("chunk", F.lit(0))["v"]
-    moved = F.exists("chunk", lambda c: F.coalesce(finite(c["v"]) & finite(first) & (F.abs(c["v"] - first) >= 0.01), F.lit(False)))
-    return x.select("global_index", moved.alias("active"))
+    """Whether a dimension moves in the first half of a chunk of eight, against its first step; every dimension of the episode."""
+    x = by_dimension(ranked_frames(spark, d, "action"), "action")
+    ahead = Window.partitionBy("episode_index", "dim").orderBy("rn").rowsBetween(0, 3)
+    far = F.greatest(F.max("v").over(ahead) - F.col("v"), F.col("v") - F.min("v").over(ahead))
+    return x.select("global_index", "dim", F.coalesce(far >= 0.01, F.lit(False)).alias("active"))
 
 
 @query("q7_inactive_keys", f"""WITH {SQL_F}, {SQL_T}, x AS (SELECT f.episode_index, j.part_key, CAST(action[j.dim + 1] AS DOUBLE) >= 0.5 AS b FROM f JOIN t USING (episode_index) JOIN (SELECT * FROM joint_ranges WHERE part_key LIKE '%gripper') j USING (embodiment_type) WHERE action IS NOT NULL AND isfinite(action[j.dim + 1]))
@@ -66,9 +63,9 @@ def q2(spark: S, d: str) -> DataFrame:
 
 @query("q4_codebook_clusters")
 def q4(spark: S, d: str) -> DataFrame:
-    """A codebook of sixteen entries by k-means, and how many vectors each holds."""
-    x = vec(spark, d).select("vec_id", array_to_vector("x").alias("features"))
-    return KMeans(k=16, maxIter=10, seed=3).fit(x).transform(x).groupBy(F.col("prediction").alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    """A codebook of sixteen entries by Lloyd's rounds, and how many vectors each holds; an entry without vectors stays where it is."""
+    x = table(spark, d, "embeddings").select("vec_id", V.doubles(F.col("embedding")).alias("x"))
+    return lloyd(x, "vec_id", 16, 10).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("m2_aligned_parts", f"WITH {SQL_F} SELECT global_index, least(len(state), 8) AS kept, greatest(8 - len(state), 0) AS filled FROM f WHERE state IS NOT NULL")
@@ -79,13 +76,13 @@ def m2(spark: S, d: str) -> DataFrame:
     return x.select("global_index", (F.size(V.pad_right(V.doubles(F.col("state")), 8)) - filled).cast("long").alias("kept"), filled.cast("long").alias("filled"))
 
 
-@query("n5_tail_roundtrip", f"""WITH {_ST} SELECT dataset_dir, field, dim, {r6('q99 + greatest(abs(q99 - mean), 1e-3) * ln(1 + (hi + 1 - q99) / greatest(abs(q99 - mean), 1e-3))')} AS squeezed, {r6('hi + 1')} AS back FROM s WHERE hi + 1 > q99 AND hi < 1000""")
+@query("n5_tail_roundtrip", f"""WITH {_ST} SELECT dataset_dir, field, dim, {rf('q99 + greatest(abs(q99 - mean), 1e-3) * ln(1 + (hi + 1 - q99) / greatest(abs(q99 - mean), 1e-3))')} AS squeezed, {rf('hi + 1')} AS back FROM s WHERE hi + 1 > q99""")
 def n5(spark: S, d: str) -> DataFrame:
     """Values beyond a quantile squeezed by a logarithm, and back."""
-    x = norm_stats(spark, d).where("hi + 1 > q99 and hi < 1000")
+    x = norm_stats(spark, d).where("hi + 1 > q99")
     c = F.greatest(F.abs(F.col("q99") - F.col("mean")), F.lit(1e-3))
     y = N.tail_forward(F.col("hi") + 1, F.col("q01"), F.col("q99"), c)
-    return x.select("dataset_dir", "field", "dim", R6(y).alias("squeezed"), R6(N.tail_backward(y, F.col("q01"), F.col("q99"), c)).alias("back"))
+    return x.select("dataset_dir", "field", "dim", RF(y).alias("squeezed"), RF(N.tail_backward(y, F.col("q01"), F.col("q99"), c)).alias("back"))
 
 
 @query("b8_box_prompt", f"WITH {_BOX} SELECT doc_id, 'Command: find; BBox: object ' || {_LOC.format('b[2]')} || {_LOC.format('b[1]')} || {_LOC.format('b[4]')} || {_LOC.format('b[3]')} || '; Action: ' AS prompt FROM b")
@@ -103,19 +100,13 @@ def b11(spark: S, d: str) -> DataFrame:
     return episodes(spark, d).where(t.isNotNull()).select("episode_index", F.concat(F.lit("Command: "), t, F.lit("; Hint: "), hint, F.lit("; Action: ")).alias("prompt"))
 
 
-@query("j13_loaded_positions", f"WITH {SQL_F} SELECT global_index, row_number() OVER (PARTITION BY episode_index ORDER BY global_index) - 1 AS position FROM f WHERE frame_index % 5 = 0")
+@query("j13_loaded_positions", f"WITH {SQL_F} SELECT global_index, row_number() OVER (PARTITION BY episode_index ORDER BY global_index) - 1 AS position FROM f WHERE action IS NOT NULL")
 def j13(spark: S, d: str) -> DataFrame:
-    """The place of each loaded row among those loaded from its episode."""
-    x = frames(spark, d).where("frame_index % 5 = 0")
+    """The place of each loaded row, those with a command, among those of its episode."""
+    x = frames(spark, d, "action").where("action is not null")
     return x.select("global_index", (F.row_number().over(Window.partitionBy("episode_index").orderBy("global_index")) - 1).cast("long").alias("position"))
 
 
-@query("j13_all_positions", f"WITH {SQL_F} SELECT global_index, row_number() OVER (PARTITION BY episode_index ORDER BY global_index) - 1 AS position FROM f")
-def j13_all(spark: S, d: str) -> DataFrame:
-    """The place of each row among all rows of its episode."""
-    return frames(spark, d).select("global_index", (F.row_number().over(Window.partitionBy("episode_index").orderBy("global_index")) - 1).cast("long").alias("position"))
-
-
 @query("k2_saved_episodes", f"WITH {SQL_F}, {SQL_E} SELECT f.global_index, e.dataset_from_index + f.frame_index AS assigned, t.task FROM f JOIN e USING (episode_index) LEFT JOIN tasks t ON t.task_index = f.task_index")
 def k2(spark: S, d: str) -> DataFrame:
     """Episodes as they are saved: global index from the episode's offset, tasks by name."""

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from kinelake.functions import vectors as V
 from kinelake.operators.windows import clamped_shift, in_episode
 from kinelake.plans.analytics import finite
-from kinelake.plans.base import R6, SQL_E, SQL_F, SQL_G, SQL_T, episodes, frames, r6, ranked_frames, typed_episodes
+from kinelake.ordering import position_in_group, with_previous
+from kinelake.plans.base import R6, RF, SQL_D, SQL_E, SQL_F, SQL_G, SQL_T, by_dimension, episodes, frames, r6, ranked_frames, rf, typed_episodes
 from kinelake.plans.registry import query
 from kinelake.tables import table
 
@@ -112,7 +113,8 @@ def b13(spark: S, d: str) -> DataFrame:
 def b14(spark: S, d: str) -> DataFrame:
     """The memory so far and what is added to it."""
     n = episodes(spark, d).select("robot_id", "episode_index", F.coalesce(at("tasks", 0), F.lit("")).alias("t"))
-    before = F.coalesce(F.lag("t").over(Window.partitionBy("robot_id").orderBy("episode_index")), F.lit("none"))
+    n = with_previous(n, "robot_id", "episode_index", "t")
+    before = F.coalesce("previous", F.lit("none"))
     return n.select("episode_index", F.concat(F.lit("Memory: "), before, F.lit("; Update: "), "t").alias("prompt"))
 
 
@@ -132,62 +134,67 @@ def b17(spark: S, d: str) -> DataFrame:
     return x.select("episode_index", F.when(V.is_text(F.col("note")) & (u < 40), "memory").when(V.is_text(F.col("task")) & (u < 80), "subtask").otherwise("base").alias("builder"))
 
 
-@query("b18_processed_sample", f"WITH {SQL_G}, {SQL_T} SELECT g.global_index, 'Command: ' || k.task || '; State: ' || CAST(CASE WHEN CAST(g.state[1] AS DOUBLE) < -1 THEN -1 ELSE least(CAST(floor((CAST(g.state[1] AS DOUBLE) + 1) * 128) AS BIGINT), 255) END AS VARCHAR) || '; Robot: ' || t.embodiment_type AS sample FROM g JOIN t USING (episode_index) JOIN tasks k ON k.task_index = g.task_index WHERE g.state IS NOT NULL AND isfinite(g.state[1]) AND abs(g.state[1]) < 10 AND {_OK.format('k.task')}")
+_CODES = "array_to_string(list_transform(g.state, lambda y: CASE WHEN y IS NULL OR NOT isfinite(y) THEN 'na' WHEN y < -1 THEN '-1' ELSE CAST(CAST(floor(least((CAST(y AS DOUBLE) + 1) * 128, 255)) AS BIGINT) AS VARCHAR) END), ' ')"
+
+
+@query("b18_processed_sample", f"WITH {SQL_G}, {SQL_T} SELECT g.global_index, 'Command: ' || k.task || '; State: ' || {_CODES} || '; Robot: ' || t.embodiment_type AS sample FROM g JOIN t USING (episode_index) JOIN tasks k ON k.task_index = g.task_index WHERE g.state IS NOT NULL AND {_OK.format('k.task')}")
 def b18(spark: S, d: str) -> DataFrame:
-    """The whole row: lookup, quantized state and template."""
+    """The whole row: lookup, quantized state of all dimensions and template."""
     t = F.broadcast(table(spark, d, "tasks").where(V.is_text(F.col("task"))))
-    v = at("state", 0).cast("double")
-    code = F.when(v < -1, F.lit(-1)).otherwise(F.least(F.floor((v + 1) * 128), F.lit(255))).cast("long").cast("string")
-    x = frames(spark, d, "state", "task_index").where(finite(v) & (F.abs(v) < 10)).join(t, "task_index").join(typed_episodes(spark, d), "episode_index")
-    return x.select("global_index", F.concat(F.lit("Command: "), "task", F.lit("; State: "), code, F.lit("; Robot: "), "embodiment_type").alias("sample"))
+
+    def code(y):
+        v = y.cast("double")
+        return F.when(y.isNull() | ~finite(v), "na").when(v < -1, "-1").otherwise(F.floor(F.least((v + 1) * 128, F.lit(255.0))).cast("string"))
+
+    x = frames(spark, d, "state", "task_index").where("state is not null").join(t, "task_index").join(typed_episodes(spark, d), "episode_index")
+    return x.select("global_index", F.concat(F.lit("Command: "), "task", F.lit("; State: "), F.concat_ws(" ", F.transform("state", code)), F.lit("; Robot: "), "embodiment_type").alias("sample"))
 
 
 # collation and evaluation: the command is taken as a prediction of the state
 
-_PAIR = f"{SQL_F}, {SQL_T}, p AS (SELECT embodiment_type, f.episode_index, generate_subscripts(action, 1) - 1 AS dim, CAST(unnest(action) AS DOUBLE) AS a, CAST(unnest(state) AS DOUBLE) AS s FROM f JOIN t USING (episode_index) WHERE action IS NOT NULL AND state IS NOT NULL AND len(action) = len(state)), w AS (SELECT * FROM p WHERE isfinite(a) AND isfinite(s) AND abs(a) < 10 AND abs(s) < 10)"
+_PAIR = f"{SQL_F}, {SQL_T}, p AS (SELECT embodiment_type, f.episode_index, generate_subscripts(action, 1) - 1 AS dim, CAST(unnest(action) AS DOUBLE) AS a, CAST(unnest(state) AS DOUBLE) AS s FROM f JOIN t USING (episode_index) WHERE action IS NOT NULL AND state IS NOT NULL AND len(action) = len(state)), w AS (SELECT * FROM p WHERE isfinite(a) AND isfinite(s))"
 
 
 def pairs(spark: S, d: str) -> DataFrame:
     x = frames(spark, d, "action", "state").where("action is not null and state is not null and size(action) = size(state)").join(typed_episodes(spark, d), "episode_index")
     x = x.select("embodiment_type", "episode_index", F.posexplode(F.arrays_zip("action", "state")).alias("dim", "z"))
     x = x.select("embodiment_type", "episode_index", F.col("dim").cast("long").alias("dim"), F.col("z.action").cast("double").alias("a"), F.col("z.state").cast("double").alias("s"))
-    return x.where(finite(F.col("a")) & finite(F.col("s")) & (F.abs("a") < 10) & (F.abs("s") < 10))
+    return x.where(finite(F.col("a")) & finite(F.col("s")))
 
 
 @query("c1_collated", f"WITH {SQL_E}, k AS (SELECT episode_index, embodiment, length, (row_number() OVER (PARTITION BY embodiment ORDER BY episode_index) - 1) // 16 AS batch FROM e) SELECT embodiment, batch, count(*) AS n, max(length) AS padded_to, CAST(sum(length) AS BIGINT) AS total FROM k GROUP BY ALL")
 def c1(spark: S, d: str) -> DataFrame:
     """Batches of 16 and the length their ragged fields are padded to."""
-    k = (F.row_number().over(Window.partitionBy("embodiment").orderBy("episode_index")) - 1).cast("long")
-    x = episodes(spark, d).select("embodiment", "length", k.alias("k"))
+    x = position_in_group(episodes(spark, d).select("embodiment", "length", "episode_index"), ["embodiment"], ["episode_index"], "k")
     return x.groupBy("embodiment", F.expr("k div 16").alias("batch")).agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("padded_to"), F.sum("length").alias("total"))
 
 
-@query("e1_masked_l1", f"WITH {_PAIR} SELECT episode_index, count(*) AS cells, {r6('sum(abs(a - s)) / greatest(count(*), 1)')} AS l1 FROM w GROUP BY episode_index")
+@query("e1_masked_l1", f"WITH {_PAIR} SELECT episode_index, count(*) AS cells, {rf('sum(abs(a - s)) / greatest(count(*), 1)')} AS l1 FROM w GROUP BY episode_index")
 def e1(spark: S, d: str) -> DataFrame:
     """Mean absolute error over the cells that count."""
-    return pairs(spark, d).groupBy("episode_index").agg(F.count(F.lit(1)).alias("cells"), R6(F.sum(F.abs(F.col("a") - F.col("s"))) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("l1"))
+    return pairs(spark, d).groupBy("episode_index").agg(F.count(F.lit(1)).alias("cells"), RF(F.sum(F.abs(F.col("a") - F.col("s"))) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("l1"))
 
 
-@query("e2_threshold_accuracy", f"WITH {_PAIR} SELECT embodiment_type, {r6('avg(CASE WHEN abs(a - s) < 0.00390625 THEN 1 ELSE 0 END)')} AS accuracy, {r6('avg(abs(a - s))')} AS l1 FROM w GROUP BY embodiment_type")
+@query("e2_threshold_accuracy", f"WITH {_PAIR} SELECT embodiment_type, {rf('avg(CASE WHEN abs(a - s) < 0.00390625 THEN 1 ELSE 0 END)')} AS accuracy, {rf('avg(abs(a - s))')} AS l1 FROM w GROUP BY embodiment_type")
 def e2(spark: S, d: str) -> DataFrame:
     """Share of cells within a threshold, and the error."""
     err = F.abs(F.col("a") - F.col("s"))
-    return pairs(spark, d).groupBy("embodiment_type").agg(R6(F.avg(F.when(err < 1 / 256, 1).otherwise(0))).alias("accuracy"), R6(F.avg(err)).alias("l1"))
+    return pairs(spark, d).groupBy("embodiment_type").agg(RF(F.avg(F.when(err < 1 / 256, 1).otherwise(0))).alias("accuracy"), RF(F.avg(err)).alias("l1"))
 
 
-@query("e3_per_part_metrics", f"WITH {_PAIR} SELECT embodiment_type, part_key, {r6('avg(abs(a - s))')} AS l1, {r6('avg(CASE WHEN (a > 0.5) = (s > 0.5) THEN 1 ELSE 0 END)')} AS agreement FROM w JOIN joint_ranges j USING (embodiment_type, dim) GROUP BY ALL")
+@query("e3_per_part_metrics", f"WITH {_PAIR} SELECT embodiment_type, part_key, {rf('avg(abs(a - s))')} AS l1, {rf('avg(CASE WHEN (a > 0.5) = (s > 0.5) THEN 1 ELSE 0 END)')} AS agreement FROM w JOIN joint_ranges j USING (embodiment_type, dim) GROUP BY ALL")
 def e3(spark: S, d: str) -> DataFrame:
     """Errors by part, and agreement of the binary side."""
     j = F.broadcast(table(spark, d, "joint_ranges").select("embodiment_type", "dim", "part_key"))
     g = pairs(spark, d).join(j, ["embodiment_type", "dim"]).groupBy("embodiment_type", "part_key")
-    return g.agg(R6(F.avg(F.abs(F.col("a") - F.col("s")))).alias("l1"), R6(F.avg(F.when((F.col("a") > 0.5) == (F.col("s") > 0.5), 1).otherwise(0))).alias("agreement"))
+    return g.agg(RF(F.avg(F.abs(F.col("a") - F.col("s")))).alias("l1"), RF(F.avg(F.when((F.col("a") > 0.5) == (F.col("s") > 0.5), 1).otherwise(0))).alias("agreement"))
 
 
-@query("e4_partial_then_final", f"WITH {_PAIR} SELECT embodiment_type, count(*) AS cells, {r6('sum(abs(a - s)) / count(*)')} AS l1, count(DISTINCT episode_index) AS episodes FROM w GROUP BY embodiment_type")
+@query("e4_partial_then_final", f"WITH {_PAIR} SELECT embodiment_type, count(*) AS cells, {rf('sum(abs(a - s)) / count(*)')} AS l1, count(DISTINCT episode_index) AS episodes FROM w GROUP BY embodiment_type")
 def e4(spark: S, d: str) -> DataFrame:
     """Sums and counts by episode, merged into those by type."""
     part = pairs(spark, d).groupBy("embodiment_type", "episode_index").agg(F.sum(F.abs(F.col("a") - F.col("s"))).alias("s"), F.count(F.lit(1)).alias("n"))
-    return part.groupBy("embodiment_type").agg(F.sum("n").alias("cells"), R6(F.sum("s") / F.sum("n")).alias("l1"), F.count(F.lit(1)).alias("episodes"))
+    return part.groupBy("embodiment_type").agg(F.sum("n").alias("cells"), RF(F.sum("s") / F.sum("n")).alias("l1"), F.count(F.lit(1)).alias("episodes"))
 
 
 @query("e5_reduced_metrics", f"WITH {SQL_E}, m AS (SELECT episode_index % 4 AS rank, 'sample_count' AS metric, count(*)::DOUBLE AS v FROM e GROUP BY ALL UNION ALL SELECT episode_index % 4, 'mean_length', avg(length) FROM e GROUP BY ALL) SELECT metric, {r6('CASE WHEN metric = ' + chr(39) + 'sample_count' + chr(39) + ' THEN sum(v) ELSE avg(v) END')} AS v FROM m GROUP BY metric")
@@ -201,34 +208,32 @@ def e5(spark: S, d: str) -> DataFrame:
 @query("e7_token_accuracy", f"WITH {SQL_E}, w AS (SELECT episode_index, string_split(coalesce(tasks[1], ''), ' ') AS t, string_split(coalesce(lag(tasks[1]) OVER (PARTITION BY robot_id ORDER BY episode_index), ''), ' ') AS g FROM e) SELECT episode_index, len(t) AS tokens, len(list_filter(range(1, len(t) + 1), lambda i: g[i] = t[i])) AS right_ones FROM w")
 def e7(spark: S, d: str) -> DataFrame:
     """Tokens that match place by place over the target's length; short predictions count as wrong at the end."""
-    w = Window.partitionBy("robot_id").orderBy("episode_index")
-    t = F.split(F.coalesce(at("tasks", 0), F.lit("")), " ")
-    g = F.split(F.coalesce(F.lag(at("tasks", 0)).over(w), F.lit("")), " ")
-    x = episodes(spark, d).select("episode_index", t.alias("t"), g.alias("g"))
+    x = with_previous(episodes(spark, d).select("robot_id", "episode_index", at("tasks", 0).alias("task")), "robot_id", "episode_index", "task")
+    x = x.select("episode_index", F.split(F.coalesce("task", F.lit("")), " ").alias("t"), F.split(F.coalesce("previous", F.lit("")), " ").alias("g"))
     hit = F.size(F.filter(F.arrays_zip("t", F.slice("g", 1, 1000000).alias("g")), lambda z: (z["t"] == z["g"])))
     return x.select("episode_index", F.size("t").cast("long").alias("tokens"), hit.cast("long").alias("right_ones"))
 
 
-@query("e8_two_level_l1", f"WITH {_PAIR}, m AS (SELECT embodiment_type, episode_index, avg(abs(a - s)) AS l1 FROM w GROUP BY ALL) SELECT t.embodiment_type, {r6('coalesce(avg(m.l1), -1)')} AS l1 FROM (SELECT DISTINCT embodiment_type FROM mixture) t LEFT JOIN m USING (embodiment_type) GROUP BY t.embodiment_type")
+@query("e8_two_level_l1", f"WITH {_PAIR}, m AS (SELECT embodiment_type, episode_index, avg(abs(a - s)) AS l1 FROM w GROUP BY ALL) SELECT t.embodiment_type, {rf('coalesce(avg(m.l1), -1)')} AS l1 FROM (SELECT DISTINCT embodiment_type FROM mixture) t LEFT JOIN m USING (embodiment_type) GROUP BY t.embodiment_type")
 def e8(spark: S, d: str) -> DataFrame:
     """Mean of the episodes' means; -1 where there is none."""
     m = pairs(spark, d).groupBy("embodiment_type", "episode_index").agg(F.avg(F.abs(F.col("a") - F.col("s"))).alias("l1"))
     t = table(spark, d, "mixture").select("embodiment_type").distinct()
-    return t.join(m.groupBy("embodiment_type").agg(F.avg("l1").alias("l1")), "embodiment_type", "left").select("embodiment_type", R6(F.coalesce("l1", F.lit(-1.0))).alias("l1"))
+    return t.join(m.groupBy("embodiment_type").agg(F.avg("l1").alias("l1")), "embodiment_type", "left").select("embodiment_type", RF(F.coalesce("l1", F.lit(-1.0))).alias("l1"))
 
 
 @query("e9_mean_since_flush", f"WITH {SQL_E} SELECT robot_id, (k - 1) // 8 AS flush, {r6('avg(length)')} AS mean FROM (SELECT robot_id, length, row_number() OVER (PARTITION BY robot_id ORDER BY episode_index) AS k FROM e) GROUP BY ALL")
 def e9(spark: S, d: str) -> DataFrame:
     """Means since the last flush, one every eight episodes."""
-    k = (F.row_number().over(Window.partitionBy("robot_id").orderBy("episode_index")) - 1).cast("long")
-    return episodes(spark, d).select("robot_id", "length", k.alias("k")).groupBy("robot_id", F.expr("k div 8").alias("flush")).agg(R6(F.avg("length")).alias("mean"))
+    x = position_in_group(episodes(spark, d).select("robot_id", "length", "episode_index"), ["robot_id"], ["episode_index"], "k")
+    return x.groupBy("robot_id", F.expr("k div 8").alias("flush")).agg(R6(F.avg("length")).alias("mean"))
 
 
-@query("e10_batch_averages", f"WITH {_PAIR}, b AS (SELECT embodiment_type, episode_index // 32 AS batch, avg(abs(a - s)) AS l1 FROM w GROUP BY ALL) SELECT embodiment_type, count(*) AS batches, {r6('avg(l1)')} AS l1 FROM b GROUP BY embodiment_type")
+@query("e10_batch_averages", f"WITH {_PAIR}, b AS (SELECT embodiment_type, episode_index // 32 AS batch, avg(abs(a - s)) AS l1 FROM w GROUP BY ALL) SELECT embodiment_type, count(*) AS batches, {rf('avg(l1)')} AS l1 FROM b GROUP BY embodiment_type")
 def e10(spark: S, d: str) -> DataFrame:
     """Metrics averaged over batches, not over cells."""
     b = pairs(spark, d).groupBy("embodiment_type", F.expr("episode_index div 32").alias("batch")).agg(F.avg(F.abs(F.col("a") - F.col("s"))).alias("l1"))
-    return b.groupBy("embodiment_type").agg(F.count(F.lit(1)).alias("batches"), R6(F.avg("l1")).alias("l1"))
+    return b.groupBy("embodiment_type").agg(F.count(F.lit(1)).alias("batches"), RF(F.avg("l1")).alias("l1"))
 
 
 @query("e11_success_rates", f"""WITH {SQL_E}, s AS (SELECT embodiment, dataset_dir, lower(is_episode_successful) IN ('true', '1') AS ok FROM e WHERE is_episode_successful IS NOT NULL)
@@ -251,8 +256,8 @@ def e12(spark: S, d: str) -> DataFrame:
 @query("r1_count_batches", "SELECT user_id, (k - 1) // 5 AS batch, count(*) AS n, min(event_id) AS first_event FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events) GROUP BY ALL")
 def r1(spark: S, d: str) -> DataFrame:
     """Requests in batches of five by user."""
-    k = (F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1).cast("long")
-    return table(spark, d, "events").select("user_id", "event_id", k.alias("k")).groupBy("user_id", F.expr("k div 5").alias("batch")).agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"))
+    x = position_in_group(table(spark, d, "events").select("user_id", "event_id", "ts"), ["user_id"], ["ts", "event_id"], "k")
+    return x.groupBy("user_id", F.expr("k div 5").alias("batch")).agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"))
 
 
 @query("r2_chunk_schedule", f"WITH {SQL_G} SELECT global_index, rn // 8 AS chunk, rn % 8 AS step, rn % 8 = 0 AS recompute FROM g")
@@ -262,14 +267,18 @@ def r2(spark: S, d: str) -> DataFrame:
     return x.select("global_index", F.expr("rn div 8").alias("chunk"), (F.col("rn") % 8).alias("step"), (F.col("rn") % 8 == 0).alias("recompute"))
 
 
-@query("r3_temporal_ensemble", f"""WITH {SQL_G}, c AS (SELECT a.episode_index, a.rn + s.step AS goal, CAST(a.action[1] AS DOUBLE) + 0.01 * s.step AS v FROM g a CROSS JOIN range(8) s(step) WHERE a.rn % 4 = 0 AND a.rn + s.step < a.n AND a.action IS NOT NULL AND isfinite(a.action[1]) AND abs(a.action[1]) < 10)
-SELECT episode_index, goal, count(*) AS votes, {r6('avg(v)')} AS mean FROM c GROUP BY ALL""")
+@query("r3_temporal_ensemble", f"""WITH {SQL_G}, {SQL_D.format('action')}, c AS (SELECT episode_index, rn + s.step AS goal, dim, v + 0.01 * s.step AS v FROM d CROSS JOIN range(8) s(step) WHERE rn + s.step < n AND v IS NOT NULL)
+SELECT episode_index, goal, dim, count(*) AS votes, CAST(round(avg(v), 9) AS FLOAT) + CAST(0 AS FLOAT) AS mean FROM c GROUP BY ALL""")
 def r3(spark: S, d: str) -> DataFrame:
-    """Overlapping chunks: all predictions for one step are averaged."""
-    v = at("action", 0).cast("double")
-    x = ranked_frames(spark, d, "action").where(F.col("rn") % 4 == 0).where(finite(v) & (F.abs(v) < 10))
-    c = x.select("episode_index", "rn", "n", v.alias("v"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("s")).where("rn + s < n")
-    return c.groupBy("episode_index", (F.col("rn") + F.col("s")).cast("long").alias("goal")).agg(F.count(F.lit(1)).alias("votes"), R6(F.avg(F.col("v") + 0.01 * F.col("s"))).alias("mean"))
+    """Overlapping chunks of eight: all predictions for one step are averaged, by dimension.
+
+    No chunk is built: step t hears the anchors t-7 to t, so a frame over eight rows has their number and sums.
+    """
+    x = by_dimension(ranked_frames(spark, d, "action"), "action").withColumn("rn", F.col("rn").cast("long"))
+    w = Window.partitionBy("episode_index", "dim").orderBy("rn").rangeBetween(-7, 0)
+    drift = F.sum(F.when(F.col("v").isNotNull(), F.col("rn"))).over(w)
+    c = x.select("episode_index", F.col("rn").alias("goal"), "dim", F.count("v").over(w).alias("votes"), F.avg("v").over(w).alias("m"), drift.alias("drift")).where("votes > 0")
+    return c.select("episode_index", "goal", "dim", "votes", (F.round(F.col("m") + 0.01 * (F.col("goal") - F.col("drift") / F.col("votes")), 9).cast("float") + F.lit(0.0).cast("float")).alias("mean"))
 
 
 @query("r4_history_buffer", f"WITH {SQL_G}, h AS (SELECT a.global_index, s.back, b.task_index FROM g a CROSS JOIN range(4) s(back) JOIN g b ON b.episode_index = a.episode_index AND b.rn = greatest(a.rn - s.back, 0)) SELECT global_index, CAST(sum(task_index * (back + 1)) AS BIGINT) AS checksum FROM h GROUP BY global_index")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from kinelake.functions import vectors as V
 from kinelake.operators.windows import in_episode
-from kinelake.plans.base import R6, SQL_E, SQL_F, SQL_G, SQL_T, episodes, frames, r6, ranked_frames, typed_episodes
+from kinelake.operators import statistics as st
+from kinelake.ordering import position_in_group
+from kinelake.plans.base import R6, RF, SQL_E, SQL_F, SQL_G, SQL_T, episodes, frames, r6, ranked_frames, rf, typed_episodes
 from kinelake.plans.registry import query
 from kinelake.tables import table
 
@@ -21,10 +23,12 @@ def s1(spark: S, d: str) -> DataFrame:
     return table(spark, d, "frames").select("global_index", "episode_index", "task_index").join(long_ones, "episode_index", "left_semi").distinct()
 
 
-@query("s4_required_rows", f"WITH {SQL_F} SELECT global_index, {r6('CAST(action[1] AS DOUBLE)')} AS a0 FROM f WHERE frame_index % 10 = 0")
+@query("s4_required_rows", f"WITH {SQL_G} SELECT global_index, len(action) AS width, {rf('list_sum(list_transform(list_filter(action, lambda y: isfinite(y)), lambda y: CAST(y AS DOUBLE)))')} AS total FROM g WHERE rn IN (0, n // 2, n - 1)")
 def s4(spark: S, d: str) -> DataFrame:
-    """Anchor rows: every tenth frame of an episode, one dimension."""
-    return frames(spark, d, "action").where("frame_index % 10 = 0").select("global_index", R6(F.get("action", F.lit(0)).cast("double")).alias("a0"))
+    """Rows by number, whole vectors: the first, middle and last frame of every episode."""
+    x = ranked_frames(spark, d, "action").where("rn in (0, n div 2, n - 1)")
+    ok = F.filter(V.doubles(F.col("action")), lambda y: ~F.isnan(y) & (F.abs(y) < float("inf")))
+    return x.select("global_index", F.size("action").cast("long").alias("width"), RF(F.when(F.size(ok) > 0, V.total(ok))).alias("total"))
 
 
 @query("s5_dataset_offsets", f"""WITH {SQL_E}, c AS (SELECT dataset_dir, sum(dataset_to_index - dataset_from_index) AS frames FROM e GROUP BY dataset_dir)
@@ -107,7 +111,8 @@ def k6(spark: S, d: str) -> DataFrame:
     known = table(spark, d, "tasks")
     new = episodes(spark, d).select(F.explode("tasks").alias("task")).where("task is not null").distinct().join(known.select("task"), "task", "left_anti")
     top = known.agg(F.max("task_index").alias("top"))
-    return new.crossJoin(F.broadcast(top)).select("task", (F.col("top") + F.row_number().over(Window.orderBy("task"))).alias("task_index"))
+    numbered = position_in_group(new, [], ["task"], "k")
+    return numbered.crossJoin(F.broadcast(top)).select("task", (F.col("top") + F.col("k") + 1).alias("task_index"))
 
 
 @query("k8_stats_json", """SELECT dataset_dir, field, dim, round(CAST(json_extract(to_json({'min': stat_min, 'max': stat_max}), '$.min') AS DOUBLE), 6) + 0.0 AS low,
@@ -386,10 +391,10 @@ def f19(spark: S, d: str) -> DataFrame:
     return table(spark, d, "joint_ranges").select("embodiment_type", "part_key", "dim", t.alias("threshold"))
 
 
-@query("f21_unit_guess", f"""WITH {SQL_F}, x AS (SELECT robot_id, unnest(action) AS v FROM f), m AS (SELECT robot_id, quantile_disc(abs(CAST(v AS DOUBLE)), 0.9) AS q FROM x WHERE v IS NOT NULL AND isfinite(v) GROUP BY robot_id)
+@query("f21_unit_guess", f"""WITH {SQL_F}, x AS (SELECT robot_id, unnest(action) AS v FROM f), m AS (SELECT robot_id, list_sort(list(abs(CAST(v AS DOUBLE))))[CAST(floor(0.9 * (count(*) - 1)) AS BIGINT) + 1] AS q FROM x WHERE v IS NOT NULL AND isfinite(v) GROUP BY robot_id)
 SELECT robot_id, CASE WHEN q <= 1.5 THEN 'normalized' WHEN q > 10 THEN 'degrees' ELSE 'radians' END AS unit FROM m""")
 def f21(spark: S, d: str) -> DataFrame:
     """A guess at a robot's unit from the size of its commands."""
     x = frames(spark, d, "robot_id", "action").select("robot_id", F.explode("action").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") < float("inf")))
-    q = x.groupBy("robot_id").agg(F.expr("percentile_disc(0.9) within group (order by abs(cast(v as double)))").alias("q"))
+    q = st.order_statistics(x.select("robot_id", F.abs(F.col("v").cast("double")).alias("v")), ["robot_id"], [("q", 0.9)])
     return q.select("robot_id", F.when(F.col("q") <= 1.5, "normalized").when(F.col("q") > 10, "degrees").otherwise("radians").alias("unit"))

@@ -11,7 +11,7 @@ from kinelake.functions import normalize as N
 from kinelake.functions import rotations as R
 from kinelake.functions import vectors as V
 from kinelake.plans.analytics import finite
-from kinelake.plans.base import R6, SQL_E, SQL_F, SQL_T, episodes, frames, r6, typed_episodes
+from kinelake.plans.base import R6, RF, SQL_E, SQL_F, SQL_T, episodes, frames, r6, rf, typed_episodes
 from kinelake.plans.registry import query
 from kinelake.tables import table
 
@@ -379,12 +379,12 @@ def n3(spark: S, d: str) -> DataFrame:
     return y.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), R6(F.avg("y")).alias("mean"), R6(F.max("y")).alias("hi"))
 
 
-@query("n4_roundtrip", f"WITH {_N3} SELECT dim, count(*) AS n, round(sum(v), 3) + 0.0 AS total FROM y WHERE v IS NOT NULL AND isfinite(v) AND abs(v) < 10 AND abs(v * sc + os) <= 5 GROUP BY dim")
+@query("n4_roundtrip", f"WITH {_N3} SELECT dim, count(*) AS n, {rf('sum(v)')} AS total FROM y WHERE v IS NOT NULL AND isfinite(v) AND abs(v * sc + os) <= 5 GROUP BY dim")
 def n4(spark: S, d: str) -> DataFrame:
     """Normalization undone: within the limits the values come back."""
     sc, os = F.col("sc"), F.col("os")
-    y = _normalized(spark, d).where(finite(F.col("v")) & (F.abs("v") < 10) & (F.abs(F.col("v") * sc + os) <= 5)).select("dim", N.backward(N.forward(F.col("v"), sc, os), sc, os).alias("b"))
-    return y.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), (F.round(F.sum("b"), 3) + F.lit(0.0)).alias("total"))
+    y = _normalized(spark, d).where(finite(F.col("v")) & (F.abs(F.col("v") * sc + os) <= 5)).select("dim", N.backward(N.forward(F.col("v"), sc, os), sc, os).alias("b"))
+    return y.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), RF(F.sum("b")).alias("total"))
 
 
 @query("n6_missing_stats", f"WITH {SQL_E}, {_ST}, w AS (SELECT DISTINCT e.dataset_dir, m.embodiment_type FROM e JOIN mixture m USING (embodiment)), k AS (SELECT dataset_dir, field, dim FROM w JOIN joint_ranges USING (embodiment_type) CROSS JOIN (VALUES ('action'), ('state')) f(field)) SELECT dataset_dir, field, dim FROM k ANTI JOIN s USING (dataset_dir, field, dim)")
@@ -398,13 +398,13 @@ def n6(spark: S, d: str) -> DataFrame:
 # reversible transforms
 
 
-@query("t2_relative_joint", f"WITH {SQL_F}, x AS (SELECT global_index, generate_subscripts(action, 1) - 1 AS dim, CAST(unnest(action) AS DOUBLE) AS a, CAST(unnest(state) AS DOUBLE) AS s FROM f WHERE action IS NOT NULL AND state IS NOT NULL AND len(action) = len(state)) SELECT CAST(dim AS BIGINT) AS dim, count(*) AS n, {r6('avg(a - s)')} AS mean, {r6('max(abs(a - s))')} AS largest FROM x WHERE isfinite(a) AND isfinite(s) AND abs(a) < 10 AND abs(s) < 10 GROUP BY dim")
+@query("t2_relative_joint", f"WITH {SQL_F}, x AS (SELECT global_index, generate_subscripts(action, 1) - 1 AS dim, CAST(unnest(action) AS DOUBLE) AS a, CAST(unnest(state) AS DOUBLE) AS s FROM f WHERE action IS NOT NULL AND state IS NOT NULL AND len(action) = len(state)) SELECT CAST(dim AS BIGINT) AS dim, count(*) AS n, {rf('avg(a - s)')} AS mean, {rf('max(abs(a - s))')} AS largest FROM x WHERE isfinite(a) AND isfinite(s) GROUP BY dim")
 def t2(spark: S, d: str) -> DataFrame:
     """Commands relative to the state."""
     x = frames(spark, d, "action", "state").where("action is not null and state is not null and size(action) = size(state)")
-    rel = F.zip_with(V.doubles(F.col("action")), V.doubles(F.col("state")), lambda a, s: F.when(finite(a) & finite(s) & (F.abs(a) < 10) & (F.abs(s) < 10), a - s))
+    rel = F.zip_with(V.doubles(F.col("action")), V.doubles(F.col("state")), lambda a, s: F.when(finite(a) & finite(s), a - s))
     y = x.select(F.posexplode(rel).alias("dim", "v")).where("v is not null")
-    return y.groupBy(F.col("dim").cast("long").alias("dim")).agg(F.count(F.lit(1)).alias("n"), R6(F.avg("v")).alias("mean"), R6(F.max(F.abs("v"))).alias("largest"))
+    return y.groupBy(F.col("dim").cast("long").alias("dim")).agg(F.count(F.lit(1)).alias("n"), RF(F.avg("v")).alias("mean"), RF(F.max(F.abs("v"))).alias("largest"))
 
 
 _ROT = "(1 - 2 * (j * j + k * k)) * {x} + 2 * (i * j + k * w) * {y} + 2 * (i * k - j * w) * {z}"
@@ -448,14 +448,14 @@ def t6(spark: S, d: str) -> DataFrame:
 # layouts
 
 
-@query("m1_concat_left", f"WITH {SQL_F} SELECT global_index, len(action) AS width, 20 - len(action) AS padded, {r6('list_sum(list_transform(list_filter(action, lambda y: isfinite(y) AND abs(y) < 10), lambda y: CAST(y AS DOUBLE)))')} AS total FROM f WHERE action IS NOT NULL AND len(list_filter(action, lambda y: isfinite(y) AND abs(y) < 10)) > 0")
+@query("m1_concat_left", f"WITH {SQL_F} SELECT global_index, len(action) AS width, 20 - len(action) AS padded, {rf('list_sum(list_transform(list_filter(action, lambda y: isfinite(y)), lambda y: CAST(y AS DOUBLE)))')} AS total FROM f WHERE action IS NOT NULL AND len(list_filter(action, lambda y: isfinite(y))) > 0")
 def m1(spark: S, d: str) -> DataFrame:
     """Vectors padded on the right to a common width, with the mask of what was filled up."""
     v = V.pad_right(V.doubles(F.col("action")), 20)
-    ok = F.filter(v, lambda y: finite(y) & (F.abs(y) < 10))
-    real = F.size(F.filter(V.doubles(F.col("action")), lambda y: finite(y) & (F.abs(y) < 10)))
+    ok = F.filter(v, lambda y: finite(y))
+    real = F.size(F.filter(V.doubles(F.col("action")), lambda y: finite(y)))
     x = frames(spark, d, "action").where("action is not null").where(real > 0)
-    return x.select("global_index", F.size("action").cast("long").alias("width"), F.size(F.filter(V.pad_mask(F.col("action"), 20), lambda m: m)).cast("long").alias("padded"), R6(V.total(ok)).alias("total"))
+    return x.select("global_index", F.size("action").cast("long").alias("width"), F.size(F.filter(V.pad_mask(F.col("action"), 20), lambda m: m)).cast("long").alias("padded"), RF(V.total(ok)).alias("total"))
 
 
 _M3 = "p AS (SELECT embodiment_type, part_key, min(dim) AS start, count(*) AS width FROM joint_ranges GROUP BY ALL)"
@@ -479,7 +479,7 @@ def m5(spark: S, d: str) -> DataFrame:
 
 @query("m6_scatter_layout", f"""WITH {SQL_F}, {SQL_T}, {_M3}, m(part_key, spot) AS (VALUES ('left_arm', 0), ('left_gripper', 9), ('right_arm', 10), ('right_ee_pose', 10), ('right_gripper', 19), ('torso', 20), ('lower_body', 20)),
 x AS (SELECT embodiment_type, m.spot + i AS model_dim, state[p.start + i + 1] AS v FROM f JOIN t USING (episode_index) JOIN p USING (embodiment_type) JOIN m USING (part_key), LATERAL (SELECT unnest(range(p.width)) AS i) WHERE state IS NOT NULL)
-SELECT embodiment_type, model_dim, count(*) AS n, {r6('avg(CAST(v AS DOUBLE))')} AS mean FROM x WHERE isfinite(v) AND abs(v) < 10 GROUP BY ALL""")
+SELECT embodiment_type, model_dim, count(*) AS n, {rf('avg(CAST(v AS DOUBLE))')} AS mean FROM x WHERE isfinite(v) GROUP BY ALL""")
 def m6(spark: S, d: str) -> DataFrame:
     """Parts scattered into the places of a model's layout."""
     place = {"left_arm": 0, "left_gripper": 9, "right_arm": 10, "right_ee_pose": 10, "right_gripper": 19, "torso": 20, "lower_body": 20}
@@ -488,9 +488,9 @@ def m6(spark: S, d: str) -> DataFrame:
     at_ = F.create_map(*[x for k, v in place.items() for x in (F.lit(k), F.lit(v))])
     m = r.join(first, ["embodiment_type", "part_key"]).select("embodiment_type", "dim", (at_[F.col("part_key")] + F.col("dim") - F.col("start")).alias("model_dim")).where("model_dim is not null")
     x = frames(spark, d, "state").where("state is not null").join(typed_episodes(spark, d), "episode_index")
-    x = x.select("embodiment_type", F.posexplode("state").alias("dim", "v")).select("embodiment_type", F.col("dim").cast("long").alias("dim"), F.col("v").cast("double").alias("v")).where(finite(F.col("v")) & (F.abs("v") < 10))
+    x = x.select("embodiment_type", F.posexplode("state").alias("dim", "v")).select("embodiment_type", F.col("dim").cast("long").alias("dim"), F.col("v").cast("double").alias("v")).where(finite(F.col("v")))
     g = x.groupBy("embodiment_type", "dim").agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"))
-    return g.join(F.broadcast(m), ["embodiment_type", "dim"]).select("embodiment_type", "model_dim", "n", R6(F.col("mean")).alias("mean"))
+    return g.join(F.broadcast(m), ["embodiment_type", "dim"]).select("embodiment_type", "model_dim", "n", RF(F.col("mean")).alias("mean"))
 
 
 @query("m7_component_chunks", f"WITH {_M3} SELECT embodiment_type, part_key, c AS chunk, least(4, width - c * 4) AS width FROM p, LATERAL (SELECT unnest(range(CAST(ceil(width / 4.0) AS BIGINT))) AS c)")
@@ -504,36 +504,22 @@ def m7(spark: S, d: str) -> DataFrame:
 # quantization
 
 
-@query("q1_state_bins", f"WITH {SQL_F}, x AS (SELECT global_index, CAST(state[1] AS DOUBLE) AS v FROM f WHERE state IS NOT NULL AND isfinite(state[1])) SELECT global_index, CASE WHEN v < -1 THEN -1 ELSE least(CAST(floor((v + 1) * 128) AS BIGINT), 255) END AS bin FROM x WHERE abs(v) < 1e6")
+@query("q1_state_bins", f"WITH {SQL_F}, x AS (SELECT global_index, CAST(generate_subscripts(state, 1) - 1 AS BIGINT) AS dim, CAST(unnest(state) AS DOUBLE) AS v FROM f WHERE state IS NOT NULL) SELECT global_index, dim, CASE WHEN v < -1 THEN -1 ELSE CAST(floor(least((v + 1) * 128, 255)) AS BIGINT) END AS bin FROM x WHERE isfinite(v)")
 def q1(spark: S, d: str) -> DataFrame:
-    """256 uniform bins on [-1, 1]: -1 below the range, 255 above it."""
-    v = at("state", 0).cast("double")
-    x = frames(spark, d, "state").where(finite(v) & (F.abs(v) < 1e6))
-    return x.select("global_index", F.when(v < -1, F.lit(-1)).otherwise(F.least(F.floor((v + 1) * 128), F.lit(255))).cast("long").alias("bin"))
+    """256 uniform bins on [-1, 1] of every dimension: -1 below the range, 255 above it."""
+    x = frames(spark, d, "state").select("global_index", F.posexplode("state").alias("dim", "v")).withColumn("v", F.col("v").cast("double")).where(finite(F.col("v")))
+    code = F.when(F.col("v") < -1, F.lit(-1)).otherwise(F.floor(F.least((F.col("v") + 1) * 128, F.lit(255.0)))).cast("long")
+    return x.select("global_index", F.col("dim").cast("long").alias("dim"), code.alias("bin"))
 
 
-_BOOK = "c AS (SELECT label AS code, i, avg(CAST(embedding[i] AS DOUBLE)) AS m FROM embeddings CROSS JOIN range(1, 9) r(i) GROUP BY ALL)"
+_BOOK = "c AS (SELECT label AS code, i, avg(CAST(embedding[i] AS DOUBLE)) AS m FROM embeddings CROSS JOIN range(1, 65) r(i) GROUP BY ALL)"
 
 
-@query("q3_residual_codes", f"""WITH {_BOOK}, v AS (SELECT vec_id, i, CAST(embedding[i] AS DOUBLE) AS x FROM embeddings CROSS JOIN range(1, 9) r(i)),
+@query("q3_residual_codes", f"""WITH {_BOOK}, v AS (SELECT vec_id, i, CAST(embedding[i] AS DOUBLE) AS x FROM embeddings CROSS JOIN range(1, 65) r(i)),
 d1 AS (SELECT vec_id, code, sum((x - m) ** 2) AS q FROM v JOIN c USING (i) GROUP BY ALL), k1 AS (SELECT vec_id, arg_min(code, struct_pack(a := round(q, 9), b := code)) AS code1 FROM d1 GROUP BY vec_id),
 r AS (SELECT v.vec_id, v.i, x - m AS x FROM v JOIN k1 USING (vec_id) JOIN c ON c.code = k1.code1 AND c.i = v.i), d2 AS (SELECT vec_id, code, sum((x - m) ** 2) AS q FROM r JOIN c USING (i) GROUP BY ALL)
 SELECT vec_id, any_value(code1) AS code1, arg_min(code, struct_pack(a := round(q, 9), b := code)) AS code2 FROM d2 JOIN k1 USING (vec_id) GROUP BY vec_id""")
 def q3(spark: S, d: str) -> DataFrame:
-    """Two levels of residual codes of the first 8 dimensions only, as in its SQL; ``q3_whole_residual_codes`` has all."""
-    x = table(spark, d, "embeddings").select("vec_id", "label", V.doubles(F.slice("embedding", 1, 8)).alias("x"))
-    book = x.groupBy("label").agg(F.array(*[F.avg(at("x", i)) for i in range(8)]).alias("m")).agg(F.collect_list(F.struct(F.col("label").alias("code"), "m")).alias("book"))
-
-    def near(v):
-        dist = F.transform("book", lambda c: F.struct(F.round(F.aggregate(V.minus(v, c["m"]), F.lit(0.0), lambda a, y: a + y * y), 9).alias("q"), c["code"].alias("code"), c["m"].alias("m")))
-        return F.array_min(dist)
-
-    y = x.crossJoin(F.broadcast(book)).withColumn("k1", near(F.col("x"))).withColumn("r", V.minus(F.col("x"), F.col("k1.m"))).withColumn("k2", near(F.col("r")))
-    return y.select("vec_id", F.col("k1.code").alias("code1"), F.col("k2.code").alias("code2"))
-
-
-@query("q3_whole_residual_codes")
-def q3_whole(spark: S, d: str) -> DataFrame:
     """Two levels of residual codes over all dimensions, against a codebook of label means; the book is a fixed handful of rows."""
     x = table(spark, d, "embeddings").select("vec_id", "label", V.doubles(F.col("embedding")).alias("x"))
     mean = x.select("label", F.posexplode("x").alias("i", "v")).groupBy("label", "i").agg(F.avg("v").alias("m"))

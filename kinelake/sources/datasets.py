@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+from collections import deque
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,14 +33,23 @@ def schema_of(features: dict) -> T.StructType:
 
 
 def merge_features(*all_features: dict) -> dict:
-    """Features of several datasets in one: later ones win, names of vectors are united in the order seen, another dtype is an error."""
+    """Features of several datasets in one.
+
+    Vectors with named places keep the names of all in the order seen, and their shape is the number of names; they must be of one
+    dtype. Of anything else, images and videos among it, the last spelling counts.
+    """
     out: dict = {}
     for features in all_features:
         for name, spec in features.items():
-            if name in out and out[name]["dtype"] != spec["dtype"]:
-                raise ValueError(f"{name} is {out[name]['dtype']} and {spec['dtype']}")
-            names = [*(out.get(name, {}).get("names") or []), *(spec.get("names") or [])]
-            out[name] = {**out.get(name, {}), **spec, "names": list(dict.fromkeys(names)) or None}
+            before = out.get(name)
+            named = spec["dtype"] not in ("image", "video") and isinstance(spec.get("names"), (list, tuple))
+            if before is None or not named or not isinstance(before.get("names"), (list, tuple)):
+                out[name] = dict(spec)
+                continue
+            if before["dtype"] != spec["dtype"]:
+                raise ValueError(f"{name} is {before['dtype']} and {spec['dtype']}")
+            names = list(dict.fromkeys([*before["names"], *spec["names"]]))
+            out[name] = {**spec, "names": names, "shape": [len(names)]}
     return out
 
 
@@ -74,30 +85,60 @@ def write_info(spark: SparkSession, info: dict, path: str) -> None:
     spark.createDataFrame([(json.dumps(info),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta/info.json")
 
 
-def flatten_keys(nested: dict, sep: str = "/", at: str = "") -> dict:
-    """Nested keys joined by a separator."""
-    out = {}
-    for k, v in nested.items():
-        key = f"{at}{sep}{k}" if at else str(k)
-        out.update(flatten_keys(v, sep, key) if isinstance(v, dict) else {key: v})
+def leaf_columns(schema: T.StructType, sep: str = "/") -> list[Column]:
+    """A column for every field of a schema that is no struct, named by its path; a queue of paths takes the place of nested calls."""
+    waiting, out = deque((((f.name,), f.dataType) for f in schema.fields)), []
+    while waiting:
+        path, kind = waiting.popleft()
+        if isinstance(kind, T.StructType):
+            waiting.extendleft(((*path, f.name), f.dataType) for f in reversed(kind.fields))
+        else:
+            out.append(reduce(lambda c, name: c.getField(name), path[1:], F.col(f"`{path[0]}`")).alias(sep.join(path)))
     return out
 
 
-def nest_keys(flat: dict, sep: str = "/") -> dict:
-    """The inverse of ``flatten_keys``."""
-    out: dict = {}
-    for k, v in flat.items():
-        *head, last = k.split(sep)
-        node = out
-        for h in head:
-            node = node.setdefault(h, {})
-        node[last] = v
-    return out
+def struct_columns(names: list[str], sep: str = "/") -> list[Column]:
+    """The inverse: columns whose names are paths, gathered into structs."""
+    groups: dict[str, list[tuple[str, list[str]]]] = {}
+    for name in names:
+        head, *rest = name.split(sep)
+        groups.setdefault(head, []).append((name, rest))
+
+    def gathered(items: list[tuple[str, list[str]]]) -> Column:
+        if len(items) == 1 and not items[0][1]:
+            return F.col(f"`{items[0][0]}`")
+        inner: dict[str, list[tuple[str, list[str]]]] = {}
+        for name, rest in items:
+            inner.setdefault(rest[0], []).append((name, rest[1:]))
+        return F.struct(*[gathered(v).alias(k) for k, v in inner.items()])
+
+    return [gathered(v).alias(k) for k, v in groups.items()]
+
+
+def compatible(version: str, current: str, enforce_major: bool = True) -> str:
+    """How a dataset's version stands to that of the reader: ``ok``, ``older`` or ``newer``. An older major version is an error if ``enforce_major``."""
+    theirs, ours = (tuple(int(x) for x in v.strip().lstrip("v").split(".")[:2]) for v in (version, current))
+    if theirs[0] < ours[0] and enforce_major:
+        raise ValueError(f"version {version} is too old for {current}")
+    return "ok" if theirs == ours else "older" if theirs < ours else "newer"
+
+
+def write_episodes(df: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
+    """The rows of episodes, in order, as files of metadata."""
+    df.repartitionByRange("episode_index").sortWithinPartitions("episode_index").write.mode("error").option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/meta/episodes")
+
+
+def write_stats(df: DataFrame, path: str) -> None:
+    """Statistics as JSON lines."""
+    df.write.mode("error").json(f"{path}/meta/stats")
+
+
+def write_dictionary(df: DataFrame, path: str, name: str) -> None:
+    """A side dictionary: ``<name>_index`` and ``<name>`` in JSON lines."""
+    df.select(f"{name}_index", name).write.mode("error").json(f"{path}/annotations/{name}.jsonl")
 
 
-def compatible(version: str, current: str) -> str:
-    """``ok``, ``older`` (minor version) or an error for another major version."""
-    (a, b), (c, d) = (tuple(int(x) for x in v.lstrip("v").split(".")[:2]) for v in (version, current))
-    if a != c:
-        raise ValueError(f"version {version} can't be read by {current}")
-    return "ok" if b >= d else "older"
+def load_metadata(spark: SparkSession, path: str, stats_schema: str, dictionaries: tuple[str, ...] = ()) -> dict:
+    """All that a dataset says of itself: ``info`` (one object), and as tables ``episodes``, ``stats`` and the dictionaries by name."""
+    tables = {n: read_dictionary(spark, path, n) for n in dictionaries}
+    return {"info": read_info(spark, path), "episodes": spark.read.parquet(f"{path}/meta/episodes"), "stats": spark.read.schema(stats_schema).json(f"{path}/meta/stats"), **tables}

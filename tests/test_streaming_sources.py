@@ -4,9 +4,11 @@ import itertools
 import time
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from kinelake.functions.sequences import RunCode, lloyd, repaired
+from kinelake.functions.sequences import RunCode, repaired
+from kinelake.operators.codebook import lloyd
 from kinelake.sources import datasets as ds
 from kinelake.streaming import operators as so
 from kinelake.tables import table
@@ -76,13 +78,28 @@ def test_files(spark, small, tmp_path):
     assert info["fps"] == 10 and ds.schema_of(info["features"]).simpleString() == "struct<a:array<float>>"
 
 
-def test_features_and_keys():
-    a, b = {"x": {"dtype": "float32", "shape": [2], "names": ["p", "q"]}}, {"x": {"dtype": "float32", "shape": [2], "names": ["q", "r"]}, "v": {"dtype": "video", "shape": [3, 2, 2]}}
-    assert ds.merge_features(a, b)["x"]["names"] == ["p", "q", "r"]
-    assert ds.schema_of(b).names == ["x"]
-    n = {"a": {"b": 1, "c": {"d": 2}}, "e": 3}
-    assert ds.nest_keys(ds.flatten_keys(n)) == n and ds.flatten_keys(n)["a/c/d"] == 2
+def test_features():
+    a = {"grip": {"dtype": "float32", "shape": [2], "names": ["open", "force"]}, "cam": {"dtype": "image", "shape": [9, 9, 3], "names": ["h", "w", "c"]}}
+    b = {"grip": {"dtype": "float32", "shape": [2], "names": ["force", "slip"]}, "cam": {"dtype": "video", "shape": [3, 8, 8], "names": ["c", "h", "w"]}, "n": {"dtype": "int64", "shape": [1], "names": None}}
+    both = ds.merge_features(a, b)
+    assert both["grip"]["names"] == ["open", "force", "slip"] and both["grip"]["shape"] == [3]
+    assert both["cam"] == b["cam"] and ds.schema_of(b).names == ["grip", "n"]
+    with pytest.raises(ValueError):
+        ds.merge_features(a, {"grip": {"dtype": "int64", "shape": [1], "names": ["x"]}})
+
+
+def test_versions():
     assert ds.compatible("v3.0", "3.0") == "ok" and ds.compatible("3.0", "3.1") == "older"
+    assert ds.compatible("4.0", "3.1") == "newer" and ds.compatible("2.1", "3.0", enforce_major=False) == "older"
+    with pytest.raises(ValueError):
+        ds.compatible("2.1", "3.0")
+
+
+def test_struct_paths(spark):
+    df = spark.sql("select 7 as id, struct(struct(1.5 as low, 'm' as unit) as size, array(1, 2) as tags) as part")
+    flat = df.select(*ds.leaf_columns(df.schema))
+    assert flat.columns == ["id", "part/size/low", "part/size/unit", "part/tags"]
+    assert flat.select(*ds.struct_columns(flat.columns)).collect() == df.collect()
 
 
 def test_run_code():
@@ -95,7 +112,11 @@ def test_run_code():
     assert repaired([0, 0, 0, 1, 0, 0, 0], 1) == [0] * 7
 
 
-def test_lloyd():
-    x = np.concatenate((np.random.default_rng(0).normal(0, 0.1, (50, 2)), np.random.default_rng(1).normal(5, 0.1, (50, 2))))
-    c = lloyd(x[[0, 60, *range(1, 60), *range(61, 100)]], 2)
-    assert np.allclose(sorted(c.mean(1)), [0, 5], atol=0.2)
+def test_lloyd(spark):
+    rows = [(i, [float(x) for x in np.random.default_rng(i).normal(5 * (i % 2), 0.1, 3)]) for i in range(60)] + [(60, None)]
+    df = spark.createDataFrame(rows, "vec_id long, x array<double>")
+    got = {r["vec_id"]: r["code"] for r in lloyd(df, "vec_id", 4, 10).collect()}
+    assert got[60] is None and not {got[i] for i in range(0, 60, 2)} & {got[i] for i in range(1, 60, 2)}
+    assert lloyd(df.limit(0), "vec_id", 4, 10).count() == 0
+    same = spark.createDataFrame([(i, [1.0]) for i in range(5)], "vec_id long, x array<double>")
+    assert {r["code"] for r in lloyd(same, "vec_id", 3, 5).collect()} == {0}  # two entries stay without vectors
