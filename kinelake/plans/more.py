@@ -115,11 +115,15 @@ def k2(spark: S, d: str) -> DataFrame:
     return x.select("global_index", (F.col("dataset_from_index") + F.col("frame_index")).alias("assigned"), "task")
 
 
-@query("a8_quantile_table", "SELECT name, q, CAST(floor(q * 9999) AS BIGINT) AS rank_of_10000 FROM (VALUES ('q00001', 0.00001::DOUBLE), ('q0001', 0.0001), ('q001', 0.001), ('q01', 0.01), ('q99', 0.99), ('q999', 0.999), ('q9999', 0.9999), ('q99999', 0.99999)) v(name, q)")
+_Q = (("q00001", 0.00001), ("q0001", 0.0001), ("q001", 0.001), ("q01", 0.01), ("q99", 0.99), ("q999", 0.999), ("q9999", 0.9999), ("q99999", 0.99999))
+
+
+@query("a8_quantile_ranks", f"WITH {SQL_F}, {SQL_T}, c AS (SELECT embodiment_type, count(*) AS n FROM f JOIN t USING (episode_index) GROUP BY ALL) SELECT embodiment_type, name, n, CAST(floor(q * (n - 1)) AS BIGINT) AS place FROM c CROSS JOIN (VALUES {', '.join(f'({chr(39)}{a}{chr(39)}, {b:.5f}::DOUBLE)' for a, b in _Q)}) v(name, q)")
 def a8(spark: S, d: str) -> DataFrame:
-    """The quantiles by name, and the rank they have among ten thousand values."""
-    rows = [("q00001", 0.00001), ("q0001", 0.0001), ("q001", 0.001), ("q01", 0.01), ("q99", 0.99), ("q999", 0.999), ("q9999", 0.9999), ("q99999", 0.99999)]
-    return spark.createDataFrame(rows, "name string, q double").withColumn("rank_of_10000", F.floor(F.col("q") * 9999))
+    """The rank of each named quantile among the frames of a type."""
+    n = frames(spark, d).join(typed_episodes(spark, d), "episode_index").groupBy("embodiment_type").agg(F.count(F.lit(1)).alias("n"))
+    each = F.explode(F.array(*[F.struct(F.lit(a).alias("name"), F.lit(b).alias("q")) for a, b in _Q])).alias("z")
+    return n.select("embodiment_type", "n", each).select("embodiment_type", "z.name", "n", F.floor(F.col("z.q") * (F.col("n") - 1)).alias("place"))
 
 
 @query("proj10_flat_struct", "SELECT DISTINCT file_id, category, part_key, raw_shape[1] AS raw_first, shape[1] AS shape_first FROM shape_meta")

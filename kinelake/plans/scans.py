@@ -375,12 +375,13 @@ def f16(spark: S, d: str) -> DataFrame:
     return x.withColumn("k", F.row_number().over(Window.partitionBy("dataset_dir").orderBy("global_index"))).where("k <= 16").select("dataset_dir", "global_index")
 
 
-@query("f17_full_mask", "SELECT embodiment_type, count(*) AS width, CAST(sum(CASE WHEN TRUE THEN 1 ELSE 0 END) AS BIGINT) AS active FROM joint_ranges GROUP BY embodiment_type")
+@query("f17_full_mask", f"WITH {SQL_F} SELECT global_index, len(action) AS width, len(list_filter(action, lambda y: y IS NOT NULL AND isfinite(y))) AS usable FROM f WHERE action IS NOT NULL")
 def f17(spark: S, d: str) -> DataFrame:
-    """A mask that leaves every dimension active."""
-    w = table(spark, d, "joint_ranges").groupBy("embodiment_type").agg(F.count(F.lit(1)).alias("width"))
-    mask = F.array_repeat(F.lit(True), F.col("width").cast("int"))
-    return w.select("embodiment_type", "width", F.size(F.filter(mask, lambda x: x)).cast("long").alias("active"))
+    """The filter that leaves every dimension of a command active, and how many of them have a reading that can be used."""
+    x = frames(spark, d, "action").where("action is not null")
+    active = F.transform("action", lambda _: F.lit(True))
+    usable = F.zip_with(active, F.col("action"), lambda m, y: m & y.isNotNull() & ~F.isnan(y) & (F.abs(y) < float("inf")))
+    return x.select("global_index", F.size(active).cast("long").alias("width"), F.size(F.filter(usable, lambda m: m)).cast("long").alias("usable"))
 
 
 @query("f19_thresholds", "SELECT embodiment_type, part_key, dim, CAST(CASE WHEN part_key LIKE '%gripper' THEN 0.05 WHEN part_key = 'lower_body' THEN 0.01 WHEN part_key LIKE '%ee_pose' THEN 0.002 ELSE 0.005 END AS DOUBLE) AS threshold FROM joint_ranges")

@@ -534,15 +534,17 @@ def q3(spark: S, d: str) -> DataFrame:
     return y.select("vec_id", F.col("k1.code").alias("code1"), F.col("k2.code").alias("code2"))
 
 
-@query("q5_token_stream", f"WITH {SQL_T} SELECT episode_index, '<left>' || CAST(length % 16 AS VARCHAR) || ' ' || CAST(length // 16 % 16 AS VARCHAR) || CASE WHEN embodiment_type = 'duolift_x' THEN '<right>' || CAST(episode_index % 16 AS VARCHAR) || ' ' || CAST(episode_index // 16 % 16 AS VARCHAR) ELSE '' END AS stream FROM t")
+@query("q5_token_stream", f"WITH {SQL_T}, h AS (SELECT embodiment_type, count(DISTINCT part_key) FILTER (WHERE part_key LIKE 'left_%') > 0 AS l, count(DISTINCT part_key) FILTER (WHERE part_key LIKE 'right_%') > 0 AS r FROM joint_ranges GROUP BY embodiment_type) SELECT episode_index, CASE WHEN l THEN '<left>' || CAST(length % 16 AS VARCHAR) || ' ' || CAST(length // 16 % 16 AS VARCHAR) ELSE '' END || CASE WHEN r THEN '<right>' || CAST(episode_index % 16 AS VARCHAR) || ' ' || CAST(episode_index // 16 % 16 AS VARCHAR) ELSE '' END AS stream FROM t JOIN h USING (embodiment_type)")
 def q5(spark: S, d: str) -> DataFrame:
-    """Codes as a stream with a marker per group; groups that are not active are left out."""
+    """Codes as a stream with a marker per side; sides that a type's layout lacks are left out."""
     def codes(c: str):
         return F.concat_ws(" ", F.expr(f"{c} % 16").cast("string"), F.expr(f"{c} div 16 % 16").cast("string"))
 
-    x = typed_episodes(spark, d, "length")
-    right = F.when(F.col("embodiment_type") == "duolift_x", F.concat(F.lit("<right>"), codes("episode_index"))).otherwise("")
-    return x.select("episode_index", F.concat(F.lit("<left>"), codes("length"), right).alias("stream"))
+    side = [F.max(F.col("part_key").like(f"{s}\\_%").cast("int")).alias(s) for s in ("left", "right")]
+    h = F.broadcast(table(spark, d, "joint_ranges").groupBy("embodiment_type").agg(*side))
+    x = typed_episodes(spark, d, "length").join(h, "embodiment_type")
+    pieces = [F.when(F.col(s) == 1, F.concat(F.lit(f"<{s}>"), codes(c))).otherwise("") for s, c in (("left", "length"), ("right", "episode_index"))]
+    return x.select("episode_index", F.concat(*pieces).alias("stream"))
 
 
 @query("q9_token_offsets", f"WITH {SQL_F}, x AS (SELECT global_index, least(greatest(task_index, 0), 255) AS code FROM f) SELECT global_index, 32000 + code AS forward, 31999 - code AS backward FROM x")

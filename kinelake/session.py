@@ -47,6 +47,13 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the driver's Python ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN[path] = spark
+    return path
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage is cut, lost executors cost nothing.
 
