@@ -18,14 +18,15 @@ from __future__ import annotations
 
 import base64
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The pattern that cuts a text into pieces (fixed value of the tokenizer).
@@ -46,6 +47,13 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def shipped(spark: SparkSession, path: str) -> Callable[[], str]:
+    """Sends a vocabulary file along with the job; the function gives its path on an executor: the same path where it lies there, else the file that was sent."""
+    spark.sparkContext.addFile(path)
+    name = Path(path).name
+    return lambda: path if Path(path).exists() else SparkFiles.get(name)
+
+
 class Vocabulary:
     """Tokens by bytes and rank, the pair each token is merged from, and a trie of their bytes from the end."""
 
@@ -235,10 +243,10 @@ class Encoder:
 
 def encoded(documents: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``ids`` (array of integers) of every row, whole texts."""
-    path = path or default_vocabulary()
+    where = shipped(documents.sparkSession, path or default_vocabulary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(path)
+        enc = Encoder(where())
         for b in batches:
             texts = b.column(1).to_pylist()
             ids = [enc.encode(t) for t in texts]
@@ -252,12 +260,12 @@ def encoded(documents: DataFrame, path: str | None = None, id_col: str = "doc_id
 
 def token_counts(documents: DataFrame, path: str | None = None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``n_tokens`` of every row; null and empty texts have none."""
-    path = path or default_vocabulary()
+    where = shipped(documents.sparkSession, path or default_vocabulary())
     cols = documents.select(*keep, F.col(text_col).cast("string").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema.fields[:-1]) + ", n_tokens long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(path)
+        enc = Encoder(where())
         for b in batches:
             n = pa.array([len(enc.encode(t)) for t in b.column(b.num_columns - 1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], n], names=[*keep, "n_tokens"])

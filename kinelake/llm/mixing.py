@@ -67,7 +67,7 @@ def mix(documents: DataFrame, targets: DataFrame, tokenizer: str | None = None,
     if len(wanted) > max_sources:
         raise ValueError(f"more than {max_sources} sources")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), source_name(F.col("source")).alias("source"), "text")
-    sizes = token_counts(docs.withColumn("same", F.xxhash64("text")), tokenizer, keep=("doc_id", "source", "same"))
+    sizes = token_counts(docs.withColumn("same", F.md5("text")), tokenizer, keep=("doc_id", "source", "same"))
     sizes = materialize(sizes, "sizes")
     listed = F.broadcast(t.select("source"))
     held = {r["source"]: r for r in sizes.join(listed, "source", "left_semi").groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")).collect()}
@@ -81,9 +81,9 @@ def mix(documents: DataFrame, targets: DataFrame, tokenizer: str | None = None,
     if even_copies:
         many = used.groupBy("source", "same").agg(F.count(F.lit(1)).alias("k"))
         # a group of copies can be large, but its rows are only counted, and join as one row
-        key = F.xxhash64("source", "same").alias("copy_key")
+        key = F.md5(F.concat("same", F.lit("|"), "source")).alias("copy_key")
         many = many.select(key, "k").groupBy("copy_key").agg(F.max("k").alias("k"))
-        used = hot_split_join(used.withColumn("copy_key", F.xxhash64("source", "same")), many, "copy_key").withColumn("w", 1.0 / F.col("k")).drop("copy_key", "k")
+        used = hot_split_join(used.withColumn("copy_key", F.md5(F.concat("same", F.lit("|"), "source"))), many, "copy_key").withColumn("w", 1.0 / F.col("k")).drop("copy_key", "k")
     else:
         used = used.withColumn("w", F.lit(1.0))
     used = materialize(used.select("source", "doc_id", "n_tokens", "w"), "used")

@@ -158,13 +158,15 @@ def _annealed(blocks: DataFrame, labels: list[str], target: dict[tuple[int, int]
     return tried.join(best, ["block", "chain"], "left_semi").select("comp", "split").join(blocks, "comp")
 
 
-def split_episodes(episodes: DataFrame, mixture: DataFrame, links: DataFrame | None = None, block: int = BLOCK, chains: int = CHAINS, seed: int = SEED) -> DataFrame:
+def split_episodes(episodes: DataFrame, mixture: DataFrame, links: DataFrame | None = None, block: int = BLOCK, chains: int = CHAINS, seed: int = SEED, max_labels: int = 10_000) -> DataFrame:
     """Each ``episode_index`` once with its ``embodiment``, component (``comp``) and ``split``."""
     one = episodes.where("episode_index is not null").groupBy(F.col("episode_index").cast("long").alias("episode_index")).agg(F.min("embodiment").alias("embodiment"))
     links = links if links is not None else linked_episodes(episodes)
     node = materialize(one.join(links.select(F.col("episode_b").alias("episode_index"), "episode_a"), "episode_index", "left").withColumn("comp", F.coalesce("episode_a", "episode_index")).drop("episode_a"), "nodes")
     wanted = {r["embodiment"]: r for r in mixture.select("embodiment", "val_set_proportion", "test_set_proportion").dropDuplicates(["embodiment"]).collect()}
-    sums = {r[0]: r[1] for r in node.groupBy("embodiment").count().collect()}  # as many rows as there are labels
+    sums = {r[0]: r[1] for r in node.groupBy("embodiment").count().limit(max_labels + 1).collect()}  # a row per label
+    if len(sums) > max_labels:
+        raise ValueError(f"more than {max_labels} embodiments")
     if not sums:
         return node.select("episode_index", "embodiment", "comp", F.lit(None).cast("string").alias("split"))
     labels = sorted(sums, key=lambda x: (x is None, x or ""))
