@@ -278,16 +278,17 @@ def w3(spark: S, d: str) -> DataFrame:
 
 @query("w4_forward_window", f"WITH {_CH} SELECT global_index, CAST(dim AS BIGINT) AS dim, count(*) FILTER (WHERE pad) AS repeated, {rf('sum(v)')} AS total FROM h WHERE v IS NOT NULL AND isfinite(v) GROUP BY global_index, dim")
 def w4(spark: S, d: str) -> DataFrame:
-    """A forward window of eight frames in every dimension, whose last row is repeated at the end of the episode."""
-    x = clamped_chunk(ranked_frames(spark, d, "action"), ["action"], 0, 7)
-    width = F.array_max(F.transform("chunk", lambda c: F.size(F.coalesce(c["action"], F.array().cast("array<float>")))))
+    """A forward window of eight frames in every dimension, whose last row is repeated at the end of the episode.
 
-    def per_dim(i):
-        own = F.filter(F.transform("chunk", lambda c: F.struct(F.get(c["action"], i).cast("double").alias("v"), c["is_pad"].alias("pad"))), lambda c: finite(c["v"]))
-        return F.struct(i.cast("long").alias("dim"), F.size(own).alias("k"), F.size(F.filter(own, lambda c: c["pad"])).cast("long").alias("repeated"), F.aggregate(own, F.lit(0.0), lambda a, c: a + c["v"]).alias("total"))
-
-    z = x.where(width > 0).select("global_index", F.explode(F.transform(F.sequence(F.lit(0), width - 1), per_dim)).alias("z")).where("z.k > 0")
-    return z.select("global_index", "z.dim", "z.repeated", RF(F.col("z.total")).alias("total"))
+    No chunk is built: a frame over eight rows gives the sum, and the last reading counts once more for each row beyond the end.
+    """
+    x = by_dimension(ranked_frames(spark, d, "action"), "action")
+    w = Window.partitionBy("episode_index", "dim").orderBy("rn")
+    ahead, whole = w.rowsBetween(0, 7), w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    x = x.select("global_index", "dim", F.count("v").over(ahead).alias("k"), F.sum("v").over(ahead).alias("s"), F.last("v").over(whole).alias("end"), F.greatest(F.col("rn") + 8 - F.col("n"), F.lit(0)).cast("long").alias("pads"))
+    pads = F.when(F.col("end").isNotNull(), F.col("pads")).otherwise(F.lit(0).cast("long"))
+    x = x.select("global_index", "dim", (F.col("k") + pads).alias("k"), pads.alias("repeated"), (F.coalesce("s", F.lit(0.0)) + pads * F.coalesce("end", F.lit(0.0))).alias("total"))
+    return x.where("k > 0").select("global_index", "dim", "repeated", RF(F.col("total")).alias("total"))
 
 
 @query("w5_clamped_shift", f"WITH {SQL_G} SELECT a.global_index, b.task_index AS later, c.coarse_task_index AS earlier FROM g a JOIN g b ON b.episode_index = a.episode_index AND b.rn = least(a.rn + 3, a.n - 1) JOIN g c ON c.episode_index = a.episode_index AND c.rn = greatest(a.rn - 2, 0)")
