@@ -74,7 +74,9 @@ def look_ahead_statistics(df: DataFrame, key: str, field: str, steps: int, quant
     last = F.col("rn") == F.col("n") - 1
     at = F.least(F.when(last, F.col("n")).otherwise(F.col("rn")), F.lit(steps)).cast("long")
     x = df.select(key, last.alias("last"), at.alias("at"), F.posexplode(field).alias("dim", "v"))
-    x = x.select(key, F.col("dim").cast("long").alias("dim"), "last", "at", F.col("v").cast("double").alias("v")).where(FINITE)
+    # written once: three passes read it, and none shuffles the frames again
+    x = materialize(x.select(key, F.col("dim").cast("int").alias("dim"), "last", F.col("at").cast("int").alias("at"), "v").where(FINITE), "readings")
+    x = x.select(key, F.col("dim").cast("long").alias("dim"), "last", F.col("at").cast("long").alias("at"), F.col("v").cast("double").alias("v"))
 
     def weight(s: Column) -> Column:
         return F.when(F.col("last"), F.least(F.col("at"), s + 1)).otherwise((F.col("at") >= s).cast("long"))
